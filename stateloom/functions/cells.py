@@ -14,9 +14,11 @@ NULL_CELL = "None"
 def cell_text(column: Column, kind: T.DataType) -> Column:
     """Dates and timestamps in ISO form, numbers plain, NULL as the word None."""
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        whole = F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
-        micros = F.date_format(column, "SSSSSS")
-        text = F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
+        # via the plain text form, which for zone-free values involves no session zone
+        plain = column.cast("string")
+        micros = F.rpad(F.substring_index(plain, ".", -1), 6, "0")
+        whole = F.replace(F.substring_index(plain, ".", 1), F.lit(" "), F.lit("T"))
+        text = F.when(F.contains(plain, F.lit(".")), F.concat(whole, F.lit("."), micros)).otherwise(whole)
     elif isinstance(kind, (T.DoubleType, T.FloatType)):
         text = double_text(column.cast("double"))
     elif isinstance(kind, T.BooleanType):

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stateloom.operators.keys import distinct_keys
-
 # Snapshot folders kept, and the folder a source file moves between.
 KEEP_SNAPSHOTS = 10
 INBOX, ARCHIVE = "To Parse", "Archive"
@@ -40,9 +38,10 @@ def retention_plan(
     """
     dated = folders.filter(dated_folder(F.col(folder)))
     kept = newest_n(dated, [dataset], [F.col(modified).desc(), F.col(folder).desc()], keep)
-    marked = dated.join(
-        distinct_keys(kept, [dataset, folder]).withColumn("__keep", F.lit(True)), [dataset, folder], "left"
-    )
+    kept = kept.select(F.col(dataset).alias("__dataset"), F.col(folder).alias("__folder"), F.lit(True).alias("__keep"))
+    # null-safe, so that neither side gains a filter and both read one shared exchange
+    same = F.col(dataset).eqNullSafe(F.col("__dataset")) & F.col(folder).eqNullSafe(F.col("__folder"))
+    marked = dated.join(kept, same, "left")
     action = F.when(F.col("__keep"), F.lit("keep")).otherwise(F.lit("delete"))
     return marked.withColumn("action", action).select(*folders.columns, "action")
 

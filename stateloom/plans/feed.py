@@ -28,8 +28,15 @@ def _comma(amount: Column) -> Column:
     return F.replace(amount.cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
 
 
+def _day_text(ts: Column) -> Column:
+    # dd.MM.yyyy from the plain text form, which involves no session zone
+    plain = ts.cast("string")
+    return F.concat_ws(".", F.substring(plain, 9, 2), F.substring(plain, 6, 2), F.substring(plain, 1, 4))
+
+
 def bank_feed(orders: DataFrame) -> DataFrame:
     second = F.expr("make_dt_interval(0, 0, 0, o_orderkey % 86400)")
+    occurred = F.col("o_orderdate") + second
     amount = F.when(F.col("o_orderkey") % 2 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
     reward = F.col("o_orderkey") % 3
     has_card = F.col("o_custkey") % 5 != 0
@@ -37,8 +44,8 @@ def bank_feed(orders: DataFrame) -> DataFrame:
     size = F.abs(F.col("o_totalprice"))
     rounded = F.when(F.col("o_orderstatus") == "P", F.ceil(size).cast("double")).otherwise(size)
     columns = {
-        "Дата операции": F.date_format(F.col("o_orderdate") + second, "dd.MM.yyyy HH:mm:ss"),
-        "Дата платежа": F.date_format("o_orderdate", "dd.MM.yyyy"),
+        "Дата операции": F.concat_ws(" ", _day_text(occurred), F.substring(occurred.cast("string"), 12, 8)),
+        "Дата платежа": _day_text(F.col("o_orderdate")),
         "Номер карты": F.when(has_card, F.concat(F.lit("*"), last4)),
         "Статус": F.when(F.col("o_orderstatus") == "F", F.lit("FAILED")).otherwise(F.lit("OK")),
         "Сумма операции": _comma(amount),

@@ -178,10 +178,10 @@ def first_half(events: DataFrame) -> DataFrame:
 
 def bookmark_delta(spark, sf):
     events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    mark = newest_bookmark(first_half(events), "ts", "event_id")
-    return after_bookmark(
-        events, "ts", "event_id", mark.select("last_ts").scalar(), mark.select("last_id").scalar()
-    )
+    # a bookmark is one stored row; as constants its values reach the scan
+    mark = newest_bookmark(first_half(events), "ts", "event_id").first()
+    last_ts = F.lit(mark["last_ts"].isoformat()).cast("timestamp_ntz")
+    return after_bookmark(events, "ts", "event_id", last_ts, F.lit(mark["last_id"]))
 
 
 def incremental_lookback(spark, sf):
@@ -278,7 +278,7 @@ def keyed_update_query(spark, sf):
 def retention_top_n(spark, sf):
     events = table(spark, sf, "events")
     folders = events.groupBy(
-        F.col("event_type").alias("dataset"), F.date_format("ts", "yyyyMMdd").alias("folder")
+        F.col("event_type").alias("dataset"), F.replace(F.col("ts").cast("date").cast("string"), F.lit("-"), F.lit("")).alias("folder")
     ).agg(F.max("ts").alias("modified_at"))
     return retention_plan(folders)
 

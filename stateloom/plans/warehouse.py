@@ -11,6 +11,8 @@ LEDGER_SCHEMA = (
     "bank string, table_name string, file_name string, src_path string, size bigint, md5 string, "
     "ingested_at timestamp_ntz, archived_at timestamp_ntz, run_id string"
 )
+# a business key holds the UTC time, so equal keys share a month
+MONTH = F.substring(F.col("transacted_at_utc").cast("string"), 1, 7)
 
 
 class Warehouse:
@@ -36,11 +38,10 @@ class Warehouse:
         return self._store(f"stg/{source}_transactions")
 
     def core(self, source: str) -> TableStore:
-        # a business key holds the UTC time, so equal keys share a month
-        return self._store(f"core/{source}_transactions", F.date_format("transacted_at_utc", "yyyy-MM"))
+        return self._store(f"core/{source}_transactions", MONTH)
 
     def mart(self, source: str) -> TableStore:
-        return self._store(f"mart/{source}_transactions", F.date_format("transacted_at_utc", "yyyy-MM"))
+        return self._store(f"mart/{source}_transactions", MONTH)
 
     def ledger_rows(self):
         rows = self.ledger().read_or_none()
