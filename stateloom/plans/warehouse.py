@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stateloom.sinks.tables import TableStore
 
@@ -12,7 +11,7 @@ LEDGER_SCHEMA = (
     "ingested_at timestamp_ntz, archived_at timestamp_ntz, run_id string"
 )
 # a business key holds the UTC time, so equal keys share a month
-MONTH = F.substring(F.col("transacted_at_utc").cast("string"), 1, 7)
+MONTH = "substring(cast(transacted_at_utc as string), 1, 7)"
 
 
 class Warehouse:
@@ -22,7 +21,7 @@ class Warehouse:
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _store(self, name: str, partition_by=None) -> TableStore:
+    def _store(self, name: str, partition_by: str | None = None) -> TableStore:
         return TableStore(self.spark, f"{self.path}/{name}", partition_by)
 
     def raw(self, table_name: str) -> TableStore:
@@ -43,6 +42,6 @@ class Warehouse:
     def mart(self, source: str) -> TableStore:
         return self._store(f"mart/{source}_transactions", MONTH)
 
-    def ledger_rows(self):
+    def ledger_rows(self) -> DataFrame:
         rows = self.ledger().read_or_none()
         return rows if rows is not None else self.spark.createDataFrame([], LEDGER_SCHEMA)

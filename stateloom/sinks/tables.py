@@ -11,7 +11,7 @@ import json
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,18 +30,18 @@ class Commit(NamedTuple):
 
 
 class TableStore:
-    """One table below `path`; `partition_by` is a text expression (letters, digits, dashes) naming
-    the directory a row goes to.
+    """One table below `path`; `partition_by` is an SQL expression for the text (letters, digits,
+    dashes) that names the directory a row goes to.
 
     For `upsert`, rows with equal keys must fall into equal partitions; then a run rewrites only
     the partitions its batch touches.
     """
 
-    def __init__(self, spark: SparkSession, path: str, partition_by: Column | None = None) -> None:
+    def __init__(self, spark: SparkSession, path: str, partition_by: str | None = None) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.partitioned = partition_by is not None
-        self.partition_by = F.lit(_WHOLE) if partition_by is None else F.coalesce(partition_by, F.lit("none"))
+        self.partition_by = F.lit(_WHOLE) if partition_by is None else F.coalesce(F.expr(partition_by), F.lit("none"))
 
     # -- reading
 
