@@ -6,13 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stateloom.functions.keys import quoted
 from stateloom.functions.text import double_text
 
 NULL_CELL = "None"
 
 
-def cell_text(column: Column, kind: T.DataType) -> Column:
-    """Dates and timestamps in ISO form, numbers plain, NULL as the word None."""
+def cell_text(name: str, kind: T.DataType) -> Column:
+    """A column's value as text.
+
+    Dates and timestamps in ISO form, numbers plain, NULL as the word None.
+    """
+    column = F.col(quoted(name))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         # via the plain text form, which for zone-free values involves no session zone
         plain = column.cast("string")
@@ -20,7 +25,7 @@ def cell_text(column: Column, kind: T.DataType) -> Column:
         whole = F.replace(F.substring_index(plain, ".", 1), F.lit(" "), F.lit("T"))
         text = F.when(F.contains(plain, F.lit(".")), F.concat(whole, F.lit("."), micros)).otherwise(whole)
     elif isinstance(kind, (T.DoubleType, T.FloatType)):
-        text = double_text(column.cast("double"))
+        text = double_text(f"cast({quoted(name)} AS double)")
     elif isinstance(kind, T.BooleanType):
         text = F.initcap(column.cast("string"))
     else:

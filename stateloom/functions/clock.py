@@ -11,10 +11,14 @@ MOSCOW = "Europe/Moscow"
 
 def local_to_utc(local: Column, zone: str = MOSCOW) -> Column:
     """Local wall time to UTC; in the hour a clock change repeats, the later instant."""
-    first = F.convert_timezone(F.lit(zone), F.lit("UTC"), local)
-    second = first + F.expr("INTERVAL 1 HOUR")
-    reads_the_same = F.convert_timezone(F.lit("UTC"), F.lit(zone), second) == local
-    return F.when(reads_the_same, second).otherwise(first)
+    hour = F.expr("INTERVAL 1 HOUR")
+
+    def utc(t: Column) -> Column:
+        return F.convert_timezone(F.lit(zone), F.lit("UTC"), t)
+
+    # an hour on is past the repeated hour, so stepping back lands on its second pass; everywhere
+    # else the two agree, but for skipped times, where the first is the one to take
+    return F.greatest(utc(local), utc(local + hour) - hour)
 
 
 def local_text_to_utc(text: Column, pattern: str = STATEMENT_PATTERN, zone: str = MOSCOW) -> Column:

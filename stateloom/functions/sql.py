@@ -15,9 +15,8 @@ BODIES = {
     "comma_decimal(x STRING) RETURNS DOUBLE": "CAST(numeric_text(replace(x, ',', '.')) AS DOUBLE)",
     "rounded_int(x STRING) RETURNS INT": "CAST(round(CAST(numeric_text(x) AS DOUBLE)) AS INT)",
     "local_to_utc(t TIMESTAMP_NTZ, zone STRING) RETURNS TIMESTAMP_NTZ": (
-        "CASE WHEN convert_timezone('UTC', zone, convert_timezone(zone, 'UTC', t) + INTERVAL 1 HOUR) = t "
-        "THEN convert_timezone(zone, 'UTC', t) + INTERVAL 1 HOUR "
-        "ELSE convert_timezone(zone, 'UTC', t) END"
+        "greatest(convert_timezone(zone, 'UTC', t), "
+        "convert_timezone(zone, 'UTC', t + INTERVAL 1 HOUR) - INTERVAL 1 HOUR)"
     ),
     "local_text_to_utc(x STRING, pattern STRING, zone STRING) RETURNS TIMESTAMP_NTZ": (
         "local_to_utc(to_timestamp_ntz(x, pattern), zone)"
@@ -27,6 +26,7 @@ BODIES = {
 
 def register_sql_functions(spark: SparkSession) -> None:
     """Make the functions known to the session; a no-op where they are."""
-    for signature, body in BODIES.items():
-        if not spark.catalog.functionExists(signature.partition("(")[0]):
+    names = [signature.partition("(")[0] for signature in BODIES]
+    if not spark.catalog.functionExists(names[-1]):
+        for signature, body in BODIES.items():
             spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")

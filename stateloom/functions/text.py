@@ -6,28 +6,37 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def double_text(value: Column) -> Column:
-    """A double as text: plain digits from 1e-4 up to 1e16, `1e+16` style outside.
+# Kept as one SQL text: built call by call, the expression costs more driver time than a small query.
+_DOUBLE_TEXT = r"""
+CASE
+  WHEN {x} IS NULL THEN NULL
+  WHEN isnan({x}) THEN 'nan'
+  WHEN {x} = double('Infinity') THEN 'inf'
+  WHEN {x} = double('-Infinity') THEN '-inf'
+  WHEN {x} = 0 OR (abs({x}) >= 1e-3D AND abs({x}) < 1e7D) THEN cast({x} AS string)
+  WHEN abs({x}) >= 1e-4D AND abs({x}) < 1e16D THEN
+    regexp_replace(regexp_replace(
+      cast(try_cast(cast({x} AS string) AS decimal(38,21)) AS string), r'0+$', ''), r'\.$', '.0')
+  ELSE regexp_replace(
+    CASE WHEN try_cast(format_string('%.15e', {x}) AS double) = {x} THEN format_string('%.15e', {x})
+      ELSE format_string('%.16e', {x}) END, r'\.?0*e', 'e')
+END"""
 
-    Spark itself turns to exponents at 1e-3 and 1e7, so an amount of ten million would hash to
-    another key than in the engines this text has to agree with.
+
+def double_text_sql(value: str) -> str:
+    """`double_text` of an SQL expression, as SQL."""
+    return _DOUBLE_TEXT.format(x=f"({value})")
+
+
+def double_text(value: str) -> Column:
+    """A double, given as a column name or SQL expression, as text.
+
+    Plain digits from 1e-4 up to 1e16, `1e+16` style outside. Spark itself turns to exponents at
+    1e-3 and 1e7, so an amount of ten million would hash to another key than in the engines this
+    text has to agree with. An exponent form has sixteen digits when they name the same double,
+    else seventeen, without trailing zeros.
     """
-    text = value.cast("string")
-    size = F.abs(value)
-    widened = text.try_cast("decimal(38,21)").cast("string")
-    plain = F.regexp_replace(F.regexp_replace(widened, "0+$", ""), r"\.$", ".0")
-    # sixteen digits when they name the same double, else seventeen; then no trailing zeros
-    short = F.format_string("%.15e", value)
-    exact = F.when(short.try_cast("double") == value, short).otherwise(F.format_string("%.16e", value))
-    exponent = F.regexp_replace(exact, r"\.?0*e", "e")
-    return (
-        F.when(value.isNull(), F.lit(None).cast("string"))
-        .when(F.isnan(value), F.lit("nan"))
-        .when(size == float("inf"), F.when(value > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when((value == 0) | ((size >= 1e-3) & (size < 1e7)), text)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(exponent)
-    )
+    return F.expr(double_text_sql(value))
 
 
 def _numeric_text(text: Column) -> Column:

@@ -25,7 +25,7 @@ def renamed(df: DataFrame, layout: dict[str, str] | None = None) -> DataFrame:
 
 def stringified(df: DataFrame) -> DataFrame:
     """Every cell as display text."""
-    return df.select(*[cell_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+    return df.select(*[cell_text(f.name, f.dataType).alias(f.name) for f in df.schema.fields])
 
 
 def display(df: DataFrame, layout: dict[str, str] | None = None) -> DataFrame:
@@ -38,7 +38,7 @@ def display_tolerant(df: DataFrame, layout: dict[str, str] | None = None) -> Dat
     kinds = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         *[
-            (cell_text(F.col(source), kinds[source]) if source in kinds else F.lit("")).alias(heading)
+            (cell_text(source, kinds[source]) if source in kinds else F.lit("")).alias(heading)
             for source, heading in (layout or DISPLAY_COLUMNS).items()
         ]
     )

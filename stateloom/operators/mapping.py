@@ -9,6 +9,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stateloom.functions.keys import quoted
+
 LOAD_KEY = "__load_key"
 INGESTED_AT = "__ingested_at"
 
@@ -31,7 +33,7 @@ def align(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     present = set(df.columns)
     return df.select(
         *[
-            (F.col("`" + c.replace("`", "``") + "`") if c in present else F.lit(None).cast("string")).alias(c)
+            (F.col(quoted(c)) if c in present else F.lit(None).cast("string")).alias(c)
             for c in columns
         ]
     )

@@ -8,8 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stateloom.functions.keys import load_key
 from stateloom.functions.sql import register_sql_functions
@@ -18,53 +17,59 @@ from stateloom.plans import models
 from stateloom.plans.bank import Bank
 
 RUN_TS = dt.datetime(2024, 2, 1)
+FEW_SPLITS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _comma(amount: Column) -> Column:
-    return F.replace(amount.cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a scan of a few splits out over the cores; a scan of many is left alone.
 
+    A split is at most `spark.sql.files.maxPartitionBytes`, which bounds what is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits <= FEW_SPLITS and 2 * splits <= cores else df
 
-def _day_text(ts: Column) -> Column:
-    # dd.MM.yyyy from the plain text form, which involves no session zone
-    plain = ts.cast("string")
-    return F.concat_ws(".", F.substring(plain, 9, 2), F.substring(plain, 6, 2), F.substring(plain, 1, 4))
+
+def _comma(amount: str) -> str:
+    return f"replace(cast(cast({amount} AS decimal(18,2)) AS string), '.', ',')"
+
+
+_OCCURRED = "cast(o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 86400) AS string)"
+_DAY = "concat_ws('.', substring({x}, 9, 2), substring({x}, 6, 2), substring({x}, 1, 4))"
+_AMOUNT = _comma("if(o_orderkey % 2 = 0, -o_totalprice, o_totalprice)")
+_ROUNDED = _comma("if(o_orderstatus = 'P', double(ceil(abs(o_totalprice))), abs(o_totalprice))")
+_LAST4 = "lpad(cast(o_custkey % 10000 AS string), 4, '0')"
+
+# dates go through their plain text form, which involves no session zone
+FEED = {
+    "Дата операции": f"concat_ws(' ', {_DAY.format(x=_OCCURRED)}, substring({_OCCURRED}, 12, 8))",
+    "Дата платежа": _DAY.format(x="cast(o_orderdate AS string)"),
+    "Номер карты": f"if(o_custkey % 5 <> 0, concat('*', {_LAST4}), null)",
+    "Статус": "if(o_orderstatus = 'F', 'FAILED', 'OK')",
+    "Сумма операции": _AMOUNT,
+    "Валюта операции": "'RUB'",
+    "Сумма платежа": _AMOUNT,
+    "Валюта платежа": "if(o_orderpriority = '5-LOW', 'USD', 'RUB')",
+    "Кэшбэк": "if(o_orderkey % 3 > 0, cast(o_orderkey % 3 AS string), null)",
+    "Категория": "o_orderpriority",
+    "MCC": f"if(o_custkey % 5 <> 0, {_LAST4}, null)",
+    "Описание": "concat('order ', cast(o_orderkey AS string))",
+    "Бонусы (включая кэшбэк)": _comma("o_orderkey % 3"),
+    "Округление на инвесткопилку": "'0,00'",
+    "Сумма операции с округлением": _ROUNDED,
+}
 
 
 def bank_feed(orders: DataFrame) -> DataFrame:
-    second = F.expr("make_dt_interval(0, 0, 0, o_orderkey % 86400)")
-    occurred = F.col("o_orderdate") + second
-    amount = F.when(F.col("o_orderkey") % 2 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))
-    reward = F.col("o_orderkey") % 3
-    has_card = F.col("o_custkey") % 5 != 0
-    last4 = F.lpad((F.col("o_custkey") % 10000).cast("string"), 4, "0")
-    size = F.abs(F.col("o_totalprice"))
-    rounded = F.when(F.col("o_orderstatus") == "P", F.ceil(size).cast("double")).otherwise(size)
-    columns = {
-        "Дата операции": F.concat_ws(" ", _day_text(occurred), F.substring(occurred.cast("string"), 12, 8)),
-        "Дата платежа": _day_text(F.col("o_orderdate")),
-        "Номер карты": F.when(has_card, F.concat(F.lit("*"), last4)),
-        "Статус": F.when(F.col("o_orderstatus") == "F", F.lit("FAILED")).otherwise(F.lit("OK")),
-        "Сумма операции": _comma(amount),
-        "Валюта операции": F.lit("RUB"),
-        "Сумма платежа": _comma(amount),
-        "Валюта платежа": F.when(F.col("o_orderpriority") == "5-LOW", F.lit("USD")).otherwise(F.lit("RUB")),
-        "Кэшбэк": F.when(reward > 0, reward.cast("string")),
-        "Категория": F.col("o_orderpriority"),
-        "MCC": F.when(has_card, last4),
-        "Описание": F.concat(F.lit("order "), F.col("o_orderkey").cast("string")),
-        "Бонусы (включая кэшбэк)": _comma(reward),
-        "Округление на инвесткопилку": F.lit("0,00"),
-        "Сумма операции с округлением": _comma(rounded),
-    }
-    return orders.select(*[column.alias(name) for name, column in columns.items()])
+    return orders.selectExpr(*[f"{expression} AS `{name}`" for name, expression in FEED.items()])
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bank_feed(table(spark, sf_dir, "orders"))
+    return bank_feed(spread(table(spark, sf_dir, "orders")))
 
 
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

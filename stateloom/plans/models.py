@@ -24,7 +24,7 @@ def staging(raw: DataFrame, bank: Bank, run_ts: dt.datetime, existing: DataFrame
 
 def core(staged: DataFrame, bank: Bank, run_ts: dt.datetime) -> DataFrame:
     """Staged rows under their business key."""
-    key = business_key(bank.source, F.col("transacted_at_utc"), F.col("transaction_amt"), F.col("card_last4"))
+    key = business_key(bank.source, "transacted_at_utc", "transaction_amt", "card_last4")
     return staged.select(
         key.alias("transaction_bk"),
         "card_last4",

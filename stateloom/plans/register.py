@@ -21,7 +21,7 @@ from stateloom.operators.layout import display_tolerant, events_export, renamed,
 from stateloom.operators.mapping import align, run_stamp
 from stateloom.operators.retention import pending_archive, retention_plan
 from stateloom.plans.feed import (
-    RUN_TS, core_feed, feed, mart_feed, raw_feed, staged_feed, table, view_feed,
+    RUN_TS, core_feed, feed, mart_feed, spread, staged_feed, table, view_feed,
 )
 from stateloom.quality.checks import (
     between, column_exists, duplicate_keys, in_set, not_null, null_counts, rejected_values, row_rule, run_checks, unique,
@@ -64,15 +64,15 @@ def load_key_events(spark, sf):
 
 
 def business_key_query(spark, sf):
-    key = business_key("t_bank", F.col("transacted_at_utc"), F.col("transaction_amt"), F.col("card_last4"))
+    key = business_key("t_bank", "transacted_at_utc", "transaction_amt", "card_last4")
     return staged_feed(spark, sf).select("description", key.alias("transaction_bk"))
 
 
 def business_key_large(spark, sf):
     """Amounts a thousand times as large, where plain and exponent text forms part ways."""
-    key = business_key("t_bank", F.col("o_orderdate"), F.col("o_totalprice") * 1000, F.lit(None).cast("string"))
-    return table(spark, sf, "orders").select(
-        "o_orderkey", double_text(F.col("o_totalprice") * 1000).alias("amount_text"), key.alias("transaction_bk")
+    key = business_key("t_bank", "o_orderdate", "o_totalprice * 1000", "cast(null as string)")
+    return spread(table(spark, sf, "orders")).select(
+        "o_orderkey", double_text("o_totalprice * 1000").alias("amount_text"), key.alias("transaction_bk")
     )
 
 
@@ -82,11 +82,11 @@ def business_key_large(spark, sf):
 def align_schema(spark, sf):
     customer = table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("custkey"), F.col("c_name").alias("name"),
-        F.col("c_nationkey").cast("string").alias("nationkey"), double_text(F.col("c_acctbal")).alias("acctbal"),
+        F.col("c_nationkey").cast("string").alias("nationkey"), double_text("c_acctbal").alias("acctbal"),
         F.col("c_mktsegment").alias("mktsegment"),
     )
     supplier = table(spark, sf, "supplier").select(
-        double_text(F.col("s_acctbal")).alias("acctbal"), F.col("s_name").alias("name"),
+        double_text("s_acctbal").alias("acctbal"), F.col("s_name").alias("name"),
         F.col("s_suppkey").cast("string").alias("suppkey"), F.col("s_nationkey").cast("string").alias("nationkey"),
     )
     return customer.unionByName(align(supplier, customer.columns))
@@ -113,7 +113,7 @@ def date_text_parse(spark, sf):
 
 
 def int_text_parse(spark, sf):
-    price = double_text(F.col("p_retailprice"))
+    price = double_text("p_retailprice")
     return table(spark, sf, "part").select(
         "p_partkey",
         int_text(F.col("p_size").cast("string"), strict=True).alias("size_int"),
@@ -190,7 +190,7 @@ def incremental_lookback(spark, sf):
 
 
 def anti_join_new_rows(spark, sf):
-    events = table(spark, sf, "events")
+    events = spread(table(spark, sf, "events"))
     keyed = events.select("event_id", "ts", load_key(events).alias("__load_key"))
     return unseen(keyed, first_half(keyed), "__load_key").select("event_id", "__load_key")
 

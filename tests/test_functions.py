@@ -33,7 +33,7 @@ def test_double_text_matches_duckdb(spark):
     values += [round(random.uniform(-1e9, 1e9), 2) * 1000 for _ in range(2000)]
     values += [random.uniform(-1, 1) * 10 ** random.randint(-8, 15) for _ in range(2000)]
     want = [None if v is None else duckdb.execute("select cast(?::double as varchar)", [v]).fetchone()[0] for v in values]
-    assert results(column(spark, values, "double"), double_text(F.col("x"))) == want
+    assert results(column(spark, values, "double"), double_text("x")) == want
     assert want[2] == "10000000.0" and want[3] == "0.0001" and want[6] == "123456789.125"
 
 
@@ -68,7 +68,7 @@ def test_business_key_leaves_out_nulls_and_ignores_description(spark):
     df = spark.createDataFrame(
         [(when, 1e7, None), (when, 1e7, "*1"), (None, None, "*1")], "t timestamp_ntz, a double, c string"
     )
-    have = [r[0] for r in df.select(business_key("t_bank", F.col("t"), F.col("a"), F.col("c"))).collect()]
+    have = [r[0] for r in df.select(business_key("t_bank", "t", "a", "c")).collect()]
     texts = [
         "t_bank|2025-08-19 04:09:09|10000000.0|no_card_last4", "t_bank|2025-08-19 04:09:09|10000000.0|*1", "t_bank|*1"
     ]
@@ -151,7 +151,7 @@ def test_cell_text(spark):
         [(dt.datetime(2025, 1, 15, 10, 0, 0, 500000), dt.datetime(2025, 1, 15, 10), dt.date(2025, 1, 15), 45.50, None, True, 7)],
         "a timestamp_ntz, b timestamp_ntz, c date, d double, e string, f boolean, g bigint",
     )
-    cells = [cell_text(F.col(f.name), f.dataType) for f in df.schema.fields]
+    cells = [cell_text(f.name, f.dataType) for f in df.schema.fields]
     assert list(df.select(*cells).first()) == [
         "2025-01-15T10:00:00.500000", "2025-01-15T10:00:00", "2025-01-15", "45.5", "None", "True", "7"
     ]
