@@ -14,6 +14,7 @@ from stateloom.operators.mapping import run_stamp
 from stateloom.operators.retention import KEEP_SNAPSHOTS, pending_archive, retention_plan
 from stateloom.plans.warehouse import Warehouse
 from stateloom.session import checkpoint
+from stateloom.sinks.tables import TableStore
 from stateloom.sources.files import find_files
 
 
@@ -86,3 +87,19 @@ def prune_snapshots(spark: SparkSession, exports: str, keep: int = KEEP_SNAPSHOT
     for folder in doomed:
         system.delete_dir(f"{base}/{folder}")
     return {"deleted_count": len(doomed), "kept_count": kept}
+
+
+def drop_expired(store: TableStore, keep: int = 2) -> list[str]:
+    """Delete the directories no recent version of a table uses; readers of the newest stay safe.
+
+    A directory that is gone already is passed over, so an interrupted run can be repeated.
+    """
+    from pyarrow import fs
+
+    system, base = _file_system(store.path)
+    dropped = []
+    for folder in store.expired_dirs(keep):
+        if system.get_file_info(f"{base}/{folder}").type == fs.FileType.Directory:
+            system.delete_dir(f"{base}/{folder}")
+            dropped.append(folder)
+    return dropped

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+LONG_TEXT = 64
 
 
 def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -37,10 +40,20 @@ def value_ranges(df: DataFrame, columns: Sequence[str], invalid: dict[str, Colum
     return df.agg(*bounds, *[F.count_if(condition).alias(name) for name, condition in invalid.items()])
 
 
+def _distinct_form(df: DataFrame, name: str) -> Column:
+    # long text travels through the shuffle as its SHA-256; the marks keep it apart from short text
+    column = F.col(name)
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return column
+    long = F.concat(F.lit("#"), F.sha2(column, 256))
+    return F.when(F.length(column) > LONG_TEXT, long).otherwise(F.concat(F.lit("="), column))
+
+
 def uniqueness(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct values per column beside the row count; exact unless `approximate`."""
     count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(*[count(c).alias(f"unique_{c}") for c in columns], F.count(F.lit(1)).alias("total_rows"))
+    distinct = [count(_distinct_form(df, c)).alias(f"unique_{c}") for c in columns]
+    return df.agg(*distinct, F.count(F.lit(1)).alias("total_rows"))
 
 
 def export_counts(df: DataFrame, amount: Column, cashback: Column) -> DataFrame:

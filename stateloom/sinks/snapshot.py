@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stateloom.operators.fingerprint import fold_md5
@@ -46,13 +46,14 @@ def publish_snapshot(
     csv_path = f"{exports.rstrip('/')}/{date_folder}/{name}_{stamp}.csv"
     results_path = f"{results.rstrip('/')}/bank_transactions.csv"
     rows = checkpoint(df) if materialize else df
-    write_csv(rows, csv_path)
+    seen = Observation()
+    write_csv(rows.observe(seen, F.count(F.lit(1)).alias("rows")), csv_path)  # counted while written
     write_csv(rows, results_path)
     manifest = {
         "table": table,
         "csv_path": csv_path,
         "results_path": results_path,
-        "row_count": rows.count(),
+        "row_count": seen.get["rows"],
         "md5": folder_md5(spark, csv_path),
         "results_md5": folder_md5(spark, results_path),
         "created_at_utc": run_ts.isoformat(timespec="seconds") + "Z",

@@ -96,6 +96,13 @@ class TableStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.path}/{d}" for d in dirs])
 
+    def expired_dirs(self, keep: int = 2) -> list[str]:
+        """Directories that only commits older than the newest `keep` refer to."""
+        newest = (F.col("version") > F.lit(current.version - keep)) if (current := self.current()) else F.lit(True)
+        named = self.commits().filter(F.col("dir").isNotNull())
+        old = named.select("dir").join(named.filter(newest).select("dir").distinct(), "dir", "left_anti")
+        return sorted(r[0] for r in old.distinct().collect())
+
     # -- writing
 
     def overwrite(self, rows: DataFrame, run_id: str) -> int:

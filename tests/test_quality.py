@@ -50,6 +50,9 @@ def test_ranges_and_uniqueness(spark):
     )
     assert tuple(uniqueness(people, ["email", "name"]).first()) == (3, 3, 4)
     assert tuple(uniqueness(people, ["email", "name"], approximate=True).first()) == (3, 3, 4)
+    long = "x" * 100
+    texts = spark.createDataFrame([(long,), (long,), (long + "y",), ("x",), (None,)], "t string")
+    assert tuple(uniqueness(texts, ["t"]).first()) == (3, 5)
     assert tuples(duplicate_keys(people, "email")) == [("user1@test.com", 2)]
 
 
