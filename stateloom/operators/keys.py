@@ -33,6 +33,16 @@ def unseen(df: DataFrame, seen: DataFrame, on: str | Sequence[str]) -> DataFrame
     return df.join(distinct_keys(seen, on), _names(on), "left_anti")
 
 
+def unseen_in_store(batch: DataFrame, stored: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """`unseen` for a batch that is small beside what is stored.
+
+    The stored keys are first cut down to those of the batch. The batch's keys are the side that a
+    hash join may broadcast there, so while they are small the store is only scanned, not shuffled.
+    """
+    hits = already_seen(stored.select(*_names(on)), batch, on)
+    return unseen(batch, hits, on)
+
+
 def already_seen(df: DataFrame, seen: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of `df` whose key occurs in `seen`."""
     return df.join(distinct_keys(seen, on), _names(on), "left_semi")

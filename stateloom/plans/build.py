@@ -12,7 +12,10 @@ from stateloom.plans import models
 from stateloom.plans.bank import VIEW_SCHEMA, Bank
 from stateloom.plans.warehouse import Warehouse
 from stateloom.quality.gate import enforce, enforce_schema
-from stateloom.sinks.tables import TableStore, require_table
+from stateloom.sinks.tables import require_table
+
+
+LAYERS = ("staging", "core", "mart")
 
 
 def build(
@@ -22,13 +25,15 @@ def build(
     run_ts: dt.datetime,
     run_id: str,
     full_refresh: bool = False,
-    check_touched_only: bool = False,
+    check_all: bool = False,
     skip_source_check: bool = False,
 ) -> dict[str, list[dict]]:
     """Bring staging, core and mart up to date; failed warnings per layer are returned.
 
-    A failed error check stops the run before the next layer. `check_touched_only` limits the
-    checks of a layer to the partitions this run has written.
+    A failed error check stops the run before the next layer. Where the version a run started from
+    has passed its checks, only the partitions the run has written are checked: equal keys share a
+    partition, so nothing else can have changed the outcome. `check_all` checks whole tables, and
+    reports warnings of whole tables.
     """
     register_sql_functions(spark)
     raw = warehouse.raw(bank.raw_table).read_or_none(warehouse.ledger_rows())
@@ -37,19 +42,23 @@ def build(
     raw = require_table(raw, bank.raw_table)
     warnings: dict[str, list[dict]] = {}
 
-    def checked(layer: str, store: TableStore) -> None:
-        rows = store.read_written(run_id) if check_touched_only else store.read()
-        warnings[layer] = enforce(rows, bank.checks[layer], layer)
-
     staging, core, mart = warehouse.staging(bank.source), warehouse.core(bank.source), warehouse.mart(bank.source)
 
+    stores = dict(zip(LAYERS, (staging, core, mart)))
+    passed = {} if check_all or full_refresh else warehouse.passed_versions(bank.source)
+    sound = {layer: layer in passed and passed[layer] == store.version() for layer, store in stores.items()}
+
+    def checked(layer: str) -> None:
+        rows = stores[layer].read_written(run_id) if sound[layer] else stores[layer].read()
+        warnings[layer] = enforce(rows, bank.checks[layer], layer)
+
     stored = None if full_refresh else staging.read_or_none()
     new_rows = models.staging(raw, bank, run_ts, stored)
     if stored is None:
         staging.overwrite(new_rows, run_id)
     else:
         staging.append(new_rows, run_id)
-    checked("staging", staging)
+    checked("staging")
 
     for layer, store, upstream, model in (("core", core, staging, models.core), ("mart", mart, core, models.mart)):
         stored = None if full_refresh else store.read_or_none()
@@ -58,11 +67,14 @@ def build(
             store.overwrite(model(source, bank, run_ts), run_id)
         else:
             store.upsert(model(since_lookback(source, stored), bank, run_ts), "transaction_bk", run_id)
-        checked(layer, store)
+        checked(layer)
 
     view = combined(warehouse, bank)
     enforce_schema(view, VIEW_SCHEMA, "view")
-    warnings["view"] = enforce(view, bank.checks["view"], "view")
+    touched = models.combined_view(mart.read_written(run_id), bank) if sound["mart"] else view
+    warnings["view"] = enforce(touched, bank.checks["view"], "view")
+    versions = {layer: store.version() for layer, store in stores.items()}
+    warehouse.note_passed(bank.source, versions, run_id)
     return warnings
 
 

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from stateloom.functions.clock import local_date
 from stateloom.functions.keys import business_key
-from stateloom.operators.keys import unseen
+from stateloom.operators.keys import unseen_in_store
 from stateloom.operators.mapping import INGESTED_AT, LOAD_KEY, mapped_projection, run_stamp
 from stateloom.plans.bank import REWARD_CATEGORY, REWARD_DESCRIPTION, Bank
 
 
 def staging(raw: DataFrame, bank: Bank, run_ts: dt.datetime, existing: DataFrame | None = None) -> DataFrame:
     """Typed rows of the raw rows whose load key is not staged yet."""
-    rows = raw if existing is None else unseen(raw, existing, LOAD_KEY)
+    rows = raw if existing is None else unseen_in_store(raw, existing, LOAD_KEY)
     if bank.dedup_within_batch:
         rows = rows.dropDuplicates([LOAD_KEY])
     return mapped_projection(rows, bank.mapping, bank.source, run_ts)

@@ -45,3 +45,12 @@ class Warehouse:
     def ledger_rows(self) -> DataFrame:
         rows = self.ledger().read_or_none()
         return rows if rows is not None else self.spark.createDataFrame([], LEDGER_SCHEMA)
+
+    def passed_versions(self, source: str) -> dict[str, int]:
+        """Layer -> the version that last passed all checks of a whole build."""
+        rows = self._store(f"meta/{source}_passed").read_or_none()
+        return {} if rows is None else {r["layer"]: r["version"] for r in rows.collect()}
+
+    def note_passed(self, source: str, versions: dict[str, int], run_id: str) -> None:
+        rows = self.spark.createDataFrame(list(versions.items()), "layer string, version bigint").coalesce(1)
+        self._store(f"meta/{source}_passed").overwrite(rows, run_id)

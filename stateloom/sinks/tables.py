@@ -71,6 +71,10 @@ class TableStore:
         """The newest commit; with `committed_runs`, the newest whose run is listed there."""
         return self._load(committed_runs)[0]
 
+    def version(self) -> int:
+        """The newest commit's number, 0 before the first."""
+        return self.commits().agg(F.max("version")).first()[0] or 0
+
     def exists(self, committed_runs: DataFrame | None = None) -> bool:
         return self.current(committed_runs) is not None
 

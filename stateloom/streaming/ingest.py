@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stateloom.functions.keys import load_key
 from stateloom.operators.incremental import LOOKBACK
-from stateloom.operators.keys import unseen
+from stateloom.operators.keys import unseen_in_store
 from stateloom.operators.mapping import INGESTED_AT, LOAD_KEY, run_stamp
 from stateloom.sinks.tables import TableStore
 
@@ -65,7 +65,7 @@ def append_unseen(
     def write(batch: DataFrame, number: int) -> None:
         stamp = run_ts or dt.datetime.now(dt.timezone.utc)
         stored = store.read_or_none()
-        fresh = batch if stored is None else unseen(batch, stored, LOAD_KEY)
+        fresh = batch if stored is None else unseen_in_store(batch, stored, LOAD_KEY)
         store.append(fresh.withColumn(INGESTED_AT, run_stamp(stamp)), f"{name}-{number}")
 
     return (

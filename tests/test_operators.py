@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stateloom.operators.fingerprint import fold_md5, row_checksum
 from stateloom.operators.incremental import backfill_range, delete_insert, distinct_per_file, since_lookback
-from stateloom.operators.keys import already_seen, keyed_update, referential_integrity, unseen
+from stateloom.operators.keys import already_seen, keyed_update, referential_integrity, unseen, unseen_in_store
 from stateloom.operators.layout import DISPLAY_COLUMNS, display, display_tolerant, events_export, header
 from stateloom.operators.mapping import MappingRow, align, rows_for, run_stamp
 from stateloom.operators.retention import pending_archive, retention_plan
@@ -66,6 +66,7 @@ def test_unseen_and_seen_partition_rows(spark):
     df = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1"), (None, "1")], "path string, md5 string")
     ledger = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "9")], "path string, md5 string")
     assert tuples(unseen(df, ledger, ["path", "md5"])) == sorted([("a", "2"), ("b", "1"), (None, "1")], key=repr)
+    assert tuples(unseen_in_store(df, ledger, ["path", "md5"])) == tuples(unseen(df, ledger, ["path", "md5"]))
     assert tuples(already_seen(df, ledger, ["path", "md5"])) == [("a", "1")]
 
 

@@ -107,7 +107,7 @@ def test_later_batches_upsert_only_their_month(spark, tmp_path):
     turned = statement_row("20.09.2025 15:36:52", "-412,00", reward="4,00", cashback="4", status="FAILED")
     write_statement(inbox(root) / "c.csv", [changed, turned])
     ingest(spark, warehouse, str(root), RUN3, "r3", LATER)
-    build(spark, warehouse, bank, RUN3, "r3", check_touched_only=True)
+    build(spark, warehouse, bank, RUN3, "r3")
     assert warehouse.staging("t_bank").read().count() == 8
     core = warehouse.core("t_bank").read()
     assert core.count() == 6
@@ -115,6 +115,7 @@ def test_later_batches_upsert_only_their_month(spark, tmp_path):
     assert [d for part, d in warehouse.core("t_bank").current().dirs if part == "2024-03"] == spring
     assert core.filter("status_nm = 'OK'").count() == 4
     assert warehouse.mart("t_bank").read().count() == 5
+    assert warehouse.passed_versions("t_bank") == {"staging": 3, "core": 3, "mart": 3}
 
 
 def test_gate_stops_downstream(spark, tmp_path):
@@ -126,6 +127,12 @@ def test_gate_stops_downstream(spark, tmp_path):
     with pytest.raises(QualityError, match=r"core: unique\(transaction_bk\): 1"):
         build(spark, warehouse, bank, RUN1, "r1")
     assert warehouse.mart("t_bank").read_or_none() is None
+    assert warehouse.passed_versions("t_bank") == {}
+    # a later run that leaves the broken month alone fails as well
+    write_statement(inbox(root) / "b.csv", [statement_row("05.03.2024 10:00:00", "-1,50")])
+    ingest(spark, warehouse, str(root), RUN3, "r2", LATER)
+    with pytest.raises(QualityError, match=r"core: unique\(transaction_bk\): 1"):
+        build(spark, warehouse, bank, RUN3, "r2")
 
 
 def test_build_needs_raw(spark, tmp_path):
