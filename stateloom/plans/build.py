@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from stateloom.functions.sql import register_sql_functions
-from stateloom.operators.incremental import since_lookback
+from stateloom.operators.incremental import backfill_range, since_lookback
 from stateloom.plans import models
 from stateloom.plans.bank import VIEW_SCHEMA, Bank
 from stateloom.plans.warehouse import Warehouse
@@ -32,8 +32,8 @@ def build(
 
     A failed error check stops the run before the next layer. Where the version a run started from
     has passed its checks, only the partitions the run has written are checked: equal keys share a
-    partition, so nothing else can have changed the outcome. `check_all` checks whole tables, and
-    reports warnings of whole tables.
+    partition, so nothing else can have changed the outcome. `check_all` checks whole tables and
+    reports their warnings; use it after changing the checks.
     """
     register_sql_functions(spark)
     raw = warehouse.raw(bank.raw_table).read_or_none(warehouse.ledger_rows())
@@ -78,6 +78,22 @@ def build(
     return warnings
 
 
+def backfill(
+    spark: SparkSession, warehouse: Warehouse, bank: Bank, first: dt.date, last: dt.date, run_ts: dt.datetime, run_id: str
+) -> dict[str, int]:
+    """Derive core and mart again for the UTC days `first` to `last`, as one job per layer.
+
+    Returns the rows replayed per layer. Only the months of those days are rewritten.
+    """
+    register_sql_functions(spark)
+    core, mart = warehouse.core(bank.source), warehouse.mart(bank.source)
+    staged = backfill_range(warehouse.staging(bank.source).read(), "transacted_at_utc", first, last)
+    replayed = {"core": core.upsert(models.core(staged, bank, run_ts), "transaction_bk", run_id)}
+    cored = backfill_range(core.read(), "transacted_at_utc", first, last)
+    replayed["mart"] = mart.upsert(models.mart(cored, bank, run_ts), "transaction_bk", run_id)
+    return replayed
+
+
 def combined(warehouse: Warehouse, bank: Bank) -> DataFrame:
     """The combined view over the mart as it stands; later runs do not change what it reads."""
     return models.combined_view(warehouse.mart(bank.source).read(), bank)

@@ -23,6 +23,7 @@ HEADER = [
 RUN1 = dt.datetime(2025, 10, 1, 6, 0, 0)
 RUN2 = dt.datetime(2025, 11, 1, 6, 0, 0)
 RUN3 = dt.datetime(2025, 12, 1, 6, 0, 0)
+RUN4 = dt.datetime(2026, 1, 1, 6, 0, 0)
 LATER = dt.datetime(2100, 1, 1, tzinfo=dt.timezone.utc)
 
 

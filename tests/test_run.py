@@ -6,9 +6,10 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from stateloom.plans.bank import Bank
-from stateloom.plans.build import build, combined
+from stateloom.plans.build import backfill, build, combined
 from stateloom.plans.ingest import ingest
 from stateloom.plans.run import run
 from stateloom.plans.upkeep import prune_snapshots
@@ -16,7 +17,7 @@ from stateloom.plans.warehouse import Warehouse
 from stateloom.quality.gate import ContractError, QualityError
 from stateloom.sinks.snapshot import check_header, check_manifest, read_manifest
 
-from .conftest import LATER, RUN1, RUN2, RUN3, inbox, statement_row, tuples, write_statement
+from .conftest import LATER, RUN1, RUN2, RUN3, RUN4, inbox, statement_row, tuples, write_statement
 
 FIRST = [
     statement_row("20.09.2025 17:09:04", "-11405,00", card="", category="Переводы", mcc=""),
@@ -117,6 +118,14 @@ def test_later_batches_upsert_only_their_month(spark, tmp_path):
     assert warehouse.mart("t_bank").read().count() == 5
     assert warehouse.passed_versions("t_bank") == {"staging": 3, "core": 3, "mart": 3}
 
+    # replaying the spring day touches its month alone and changes nothing but the time of ingest
+    autumn = [d for part, d in warehouse.core("t_bank").current().dirs if part != "2024-03"]
+    day = dt.date(2024, 3, 5)
+    assert backfill(spark, warehouse, bank, day, day, RUN4, "r4") == {"core": 1, "mart": 1}
+    assert [d for part, d in warehouse.core("t_bank").current().dirs if part != "2024-03"] == autumn
+    assert warehouse.core("t_bank").read().count() == 6
+    assert [r.description for r in warehouse.mart("t_bank").read().filter(F.col("__ingested_at") == RUN4).collect()] == ["spring"]
+
 
 def test_gate_stops_downstream(spark, tmp_path):
     root, house = tmp_path / "data", str(tmp_path / "house")
