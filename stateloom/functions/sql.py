@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from stateloom.functions.clock import UTC_NAMES
+
 BODIES = {
     "numeric_text(x STRING) RETURNS STRING": (
         "CASE WHEN lower(right(trim(x), 1)) IN ('d', 'f') AND lower(trim(x)) NOT IN ('inf', '+inf', '-inf') "
@@ -15,8 +17,7 @@ BODIES = {
     "comma_decimal(x STRING) RETURNS DOUBLE": "CAST(numeric_text(replace(x, ',', '.')) AS DOUBLE)",
     "rounded_int(x STRING) RETURNS INT": "CAST(round(CAST(numeric_text(x) AS DOUBLE)) AS INT)",
     "local_to_utc(t TIMESTAMP_NTZ, zone STRING) RETURNS TIMESTAMP_NTZ": (
-        "greatest(convert_timezone(zone, 'UTC', t), "
-        "convert_timezone(zone, 'UTC', t + INTERVAL 1 HOUR) - INTERVAL 1 HOUR)"
+        "greatest({now}, {an_hour_on} - INTERVAL 1 HOUR)"
     ),
     "local_text_to_utc(x STRING, pattern STRING, zone STRING) RETURNS TIMESTAMP_NTZ": (
         "local_to_utc(to_timestamp_ntz(x, pattern), zone)"
@@ -24,9 +25,23 @@ BODIES = {
 }
 
 
+# A conversion of {x}; the first holds only where the session zone is UTC (see `clock.py`).
+BY_INSTANT = "CAST(to_utc_timestamp(CAST({x} AS TIMESTAMP_LTZ), zone) AS TIMESTAMP_NTZ)"
+BY_NAMES = "convert_timezone(zone, 'UTC', {x})"
+REGISTERED = "stateloom.functions.zone"
+
+
 def register_sql_functions(spark: SparkSession) -> None:
-    """Make the functions known to the session; a no-op where they are."""
-    names = [signature.partition("(")[0] for signature in BODIES]
-    if not spark.catalog.functionExists(names[-1]):
-        for signature, body in BODIES.items():
-            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
+    """Make the functions known to the session; a no-op where they are.
+
+    A function keeps the session zone it was made under, so they are made anew when that changes.
+    """
+    session_zone = spark.conf.get("spark.sql.session.timeZone")
+    if spark.conf.get(REGISTERED, None) == session_zone:
+        return
+    convert = BY_INSTANT if session_zone in UTC_NAMES else BY_NAMES
+    now, an_hour_on = convert.format(x="t"), convert.format(x="t + INTERVAL 1 HOUR")
+    for signature, body in BODIES.items():
+        filled = body.replace("{now}", now).replace("{an_hour_on}", an_hour_on)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {filled}")
+    spark.conf.set(REGISTERED, session_zone)

@@ -103,6 +103,25 @@ def test_every_hour_of_thirty_years_agrees_with_duckdb(spark):
     assert mine == set(theirs)
 
 
+@pytest.mark.parametrize("zones", [("America/New_York", "UTC"), ("UTC", "America/New_York"), ("Europe/Moscow", "Etc/UTC")])
+def test_conversion_does_not_depend_on_the_session_zone(spark, zones):
+    from stateloom.functions import local_to_utc
+
+    halves = spark.range(0, 30 * 365 * 48, 1, 8).select(
+        (F.lit("1995-01-01").cast("timestamp_ntz") + F.expr("make_dt_interval(0, 0, cast(id * 30 as int))")).alias("t")
+    )
+    by_name = [F.convert_timezone(F.lit("Europe/Moscow"), F.lit("UTC"), t) for t in (F.col("t"), F.col("t") + F.expr("INTERVAL 1 HOUR"))]
+    want = F.greatest(by_name[0], by_name[1] - F.expr("INTERVAL 1 HOUR"))
+    try:
+        for zone in zones:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            register_sql_functions(spark)
+            for form in (local_to_utc(F.col("t")), F.expr("local_to_utc(t, 'Europe/Moscow')")):
+                assert halves.filter(~form.eqNullSafe(want)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_local_date_literal_and_documented(spark):
     df = column(spark, [dt.datetime(2025, 8, 19, 2, 0, 0), dt.datetime(2025, 8, 19, 22, 0, 0)], "timestamp_ntz")
     assert results(df, local_date(F.col("x"))) == [dt.date(2025, 8, 18), dt.date(2025, 8, 19)]
