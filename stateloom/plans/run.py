@@ -17,6 +17,7 @@ from stateloom.plans.warehouse import Warehouse
 from stateloom.sinks.rows import Append, append_if_any
 from stateloom.sinks.snapshot import publish_snapshot
 
+# Fixed value: the name the published view goes by.
 VIEW_NAME = "prod_imart.view_bank_transactions"
 
 

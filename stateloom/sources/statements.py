@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from stateloom.functions.keys import load_key
 from stateloom.operators.incremental import distinct_per_file
-from stateloom.operators.mapping import INGESTED_AT, LOAD_KEY, align
+from stateloom.operators.mapping import LOAD_KEY, align
 from stateloom.sources.headers import clean_header, column_names, separator_of
 
 _FILE = "__file"
@@ -84,16 +84,8 @@ def read_statements(
         columns = column_names(header, separator)
         rows = read_group(spark, paths, columns, separator, breaks, mode)
         keyed = rows.withColumn(LOAD_KEY, load_key(rows, columns))
-        frames.append(align_with(keyed, target))
+        frames.append(align(keyed, [LOAD_KEY, *target, _FILE]))
     if not frames:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [LOAD_KEY, *target]])
         return spark.createDataFrame([], schema)
     return distinct_per_file(reduce(DataFrame.unionByName, frames), _FILE).drop(_FILE)
-
-
-def align_with(keyed: DataFrame, target: Sequence[str]) -> DataFrame:
-    return align(keyed, [LOAD_KEY, *target, _FILE])
-
-
-def raw_columns(target: Sequence[str]) -> list[str]:
-    return [LOAD_KEY, *target, INGESTED_AT]
