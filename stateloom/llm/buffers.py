@@ -64,12 +64,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Consecutive rows lo..hi with at most `limit` bytes (or one longer row): lo, hi, bytes, offsets."""
+def chunks(
+    column: pa.Array, limit: int = CHUNK_BYTES, rows: int = 4096
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs lo..hi of at most `rows` rows and `limit` bytes (or one longer row): lo, hi, bytes, offsets."""
     data, offsets = text_bytes(column)
     lo, n = 0, len(offsets) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1)
+        hi = max(lo + 1, min(lo + rows, int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1))
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stateloom.llm import url_filter, warc
+from stateloom.llm import decontaminate, langid, url_filter, warc
+from stateloom.llm.shared import kept
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -31,9 +32,27 @@ def op2_warc_seekable(spark, sf):
     return warc.resolve_revisits(warc.read_records(spark, folder, index, with_payload=False))
 
 
+def op3_decontamination(spark, sf):
+    documents = table(spark, sf, "documents")
+    marked, _ = decontaminate.mark_contaminated(documents, table(spark, sf, "benchmark"), keep=["doc_id", "text"])
+    return marked.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        decontaminate.items_digest(F.col("items")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op5_language_id(spark, sf):
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    profiles = kept(langid.learn_profiles(documents.filter(~langid.held_out(F.col("doc_id")))), "language-profiles")
+    judged, _ = langid.identify(documents, profiles, keep=["doc_id", "text"])
+    return judged.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 LLM_QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_warc_seekable": op2_warc_seekable,
+    "op3_decontamination": op3_decontamination,
+    "op5_language_id": op5_language_id,
 }
 
 OP1_SQL = r"""
@@ -69,7 +88,33 @@ select page_id, payload_bytes, rows.payload_digest,
 from rows left join firsts on rows.payload_digest = firsts.payload_digest and payload_bytes >= 100
 """
 
+OP3_SQL = r"""
+with item_words as (
+    select item_id::varchar as item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark where text is not null
+), windows as (
+    select distinct item, list_slice(w, k, k + least(10, len(w)) - 1) as gram
+    from (select item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) as k from item_words where len(w) > 0)
+), doc_words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+), grams as (
+    select doc_id, k, size, list_slice(w, k, k + size - 1) as gram
+    from (select doc_id, w, size, unnest(range(1, len(w) - size + 2)) as k from doc_words, (select distinct len(gram) as size from windows))
+), found as (
+    select doc_id, k, size, item from grams join windows using (gram)
+), hit as (
+    select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(range(k, k + size)) as place from (select distinct doc_id, k, size from found)) group by 1
+), named as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from found) group by 1
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join hit using (doc_id) left join named using (doc_id)
+"""
+
 LLM_ORACLES = {
     "op1_url_filter": OP1_SQL,
     "op2_warc_seekable": OP2_SQL,
+    "op3_decontamination": OP3_SQL,
 }
