@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stateloom.llm import decontaminate, langid, url_filter, warc
-from stateloom.llm.shared import kept
+from stateloom.llm import decontaminate, langid, minhash, url_filter, warc
+from stateloom.llm.shared import importable, kept
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
@@ -48,11 +49,17 @@ def op5_language_id(spark, sf):
     return judged.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op6_minhash_near_dedup(spark, sf):
+    found = minhash.near_duplicates(table(spark, sf, "documents"), options=minhash.Options(words=4))
+    return minhash.components_by_document(found).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 LLM_QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_warc_seekable": op2_warc_seekable,
     "op3_decontamination": op3_decontamination,
     "op5_language_id": op5_language_id,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
 }
 
 OP1_SQL = r"""

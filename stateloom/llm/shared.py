@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library from where the driver did."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def shared_base(spark: SparkSession) -> str:
     """The session's `spark.checkpoint.dir`; a local session without one gets a folder of its own."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
