@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stateloom.llm import decontaminate, langid, minhash, url_filter, warc
+from stateloom.llm import decontaminate, langid, minhash, pii, url_filter, warc
 from stateloom.llm.shared import importable, kept
 
 
@@ -54,12 +54,23 @@ def op6_minhash_near_dedup(spark, sf):
     return minhash.components_by_document(found).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+PII_KEY = "stateloom"  # for the query; a user takes a secret one
+
+
+def op10_pii_pseudonyms(spark, sf):
+    hidden = pii.pseudonymised(PII_KEY, F.col("text"))
+    return table(spark, sf, "documents").select(
+        "doc_id", hidden.alias("text"), pii.count_replaced(PII_KEY, F.col("text")).alias("n_replaced")
+    )
+
+
 LLM_QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_warc_seekable": op2_warc_seekable,
     "op3_decontamination": op3_decontamination,
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op10_pii_pseudonyms": op10_pii_pseudonyms,
 }
 
 OP1_SQL = r"""
