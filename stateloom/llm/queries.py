@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stateloom.llm import decontaminate, langid, minhash, pii, url_filter, warc
+from stateloom.llm import decontaminate, langid, minhash, mixing, pii, url_filter, warc
 from stateloom.llm.shared import importable, kept
 
 
@@ -25,7 +25,7 @@ URL_RULES = [
 
 
 def op1_url_filter(spark, sf):
-    return url_filter.judge_urls(table(spark, sf, "pages"), URL_RULES).select("page_id", "judged.*")
+    return url_filter.judge_urls(table(spark, sf, "pages").select("page_id", "url"), URL_RULES).select("page_id", "judged.*")
 
 
 def op2_warc_seekable(spark, sf):
@@ -42,6 +42,19 @@ def op3_decontamination(spark, sf):
     )
 
 
+MIX_WEIGHTS = [3.0, 1.0, 2.0]
+
+
+def op4_mixing(spark, sf):
+    documents = table(spark, sf, "documents").select("doc_id", "text", "source")
+    mixed, plan = mixing.mix(documents, "text", F.array("source"), MIX_WEIGHTS)
+    rows = [(s, plan["sizes"][s], plan["targets"][s]) for s in plan["sizes"]]
+    # a row per source
+    of_source = spark.createDataFrame(rows, "name string, source_size long, target double")
+    joined = mixed.join(F.broadcast(of_source), F.col("source").eqNullSafe(F.col("name")), "left")
+    return joined.select("doc_id", "mixed.size", "source_size", "target", "mixed.taken")
+
+
 def op5_language_id(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
     profiles = kept(langid.learn_profiles(documents.filter(~langid.held_out(F.col("doc_id")))), "language-profiles")
@@ -68,6 +81,7 @@ LLM_QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_warc_seekable": op2_warc_seekable,
     "op3_decontamination": op3_decontamination,
+    "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,

@@ -81,7 +81,7 @@ def longest_path(node: dict, path: str) -> Rule | None:
 def judge_urls(
     pages: DataFrame, rules: list[Rule], url: str = "url", default: str = "allow", max_trie_rules: int = 100_000
 ) -> DataFrame:
-    """`pages` with a struct column `judged`: host, path, rule (null without one) and verdict.
+    """`pages` with a struct column `judged` (replaced if there): host, path, rule (null without one), verdict.
 
     The trie is broadcast while it has at most `max_trie_rules` rules. A longer list becomes a table
     of trie nodes, and each distinct url meets the nodes on its own way down by an equi-join. A url that
