@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stateloom.llm import decontaminate, langid, minhash, mixing, neighbours, pii, url_filter, warc, wrappers
+from stateloom.llm import decontaminate, langid, minhash, mixing, neighbours, pii, substrings, url_filter, warc, wrappers
 from stateloom.llm.shared import importable, kept
 
 
@@ -67,6 +67,11 @@ def op6_minhash_near_dedup(spark, sf):
     return minhash.components_by_document(found).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_suffix_dedup(spark, sf):
+    cut = substrings.remove_repeats(table(spark, sf, "documents"), with_text=False)
+    return cut.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_nn_descent(spark, sf):
     return neighbours.nearest_neighbours(table(spark, sf, "embeddings"), F.col("key") % 100 == 0)
 
@@ -93,6 +98,7 @@ LLM_QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_nn_descent": op8_nn_descent,
     "op9_html_extraction": op9_html_extraction,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
