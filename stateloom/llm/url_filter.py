@@ -107,16 +107,15 @@ def judge_urls(
 
 def judge_by_nodes(pages: DataFrame, rules: list[Rule], url: str, default: str) -> DataFrame:
     spark = pages.sparkSession
-    split = [(r.host.translate(str.maketrans(UPPER, LOWER)), *("/" + r.path).rpartition("/")[::2], r.text, r.verdict) for r in set(rules)]
+    split = [(r.host.translate(str.maketrans(UPPER, LOWER)), r.path[: r.path.rfind("/") + 1], r.path[r.path.rfind("/") + 1 :], r.text, r.verdict) for r in set(rules)]
     nodes = spark.createDataFrame(split, "host string, way string, tail string, rule string, verdict string")
     urls = pages.select(F.col(url).alias("u")).distinct().select("u", url_host(F.col("u")).alias("h"), url_path(F.col("u")).alias("p"))
     labels, parts = F.split("h", r"\."), F.split("p", "/")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    ways = F.transform(
-        F.sequence(F.lit(1), F.size(parts)), lambda i: F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i - 1), "/"))
-    )
+    # what a path begins with, up to each of its slashes, and nothing
+    ways = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.array_join(F.concat(F.slice(parts, F.lit(1), i), F.array(F.lit(""))), "/"))
     steps = urls.withColumn("host", F.explode(suffixes)).withColumn("way", F.explode(ways))
-    whole = F.concat(F.expr("substring(way, 2)"), F.when(F.length("way") > 1, "/").otherwise(""), F.col("tail"))
+    whole = F.concat("way", "tail")
     fits = steps.join(nodes, ["host", "way"]).filter(F.col("p").startswith(whole))
     order = F.struct(F.length("host").alias("a"), F.length(whole).alias("b"), (F.col("verdict") == "block").alias("c"))
     best = fits.groupBy("u").agg(F.max_by(F.struct("rule", "verdict"), order).alias("best"))
