@@ -5,10 +5,10 @@ A sketch places every shingle hash into one of `COORDINATES` bins, round after r
 and a bin keeps the least value of the first round that reached it; after as many rounds as bins, round i
 sends everything to bin i, so that every coordinate fills. Bands of equal coordinates give candidates.
 Only components matter, so a bucket need not be compared pair by pair: its members first meet a leader
-drawn for this bucket and round, while they are in different components. What is still apart after
-a few rounds is settled exactly by prefix filtering: two similar sets share one of their rarest
-shingles, so only documents of different components that do are compared. Edited copies
-whose edits nobody shares drop out there without a comparison. Links are confirmed on the full sets.
+drawn for this bucket. Where that leaves several components in a bucket, the rest is settled exactly by
+prefix filtering: two similar sets share one of their rarest shingles, so only documents of different
+components that do are compared. Edited copies whose edits nobody shares drop out there without a
+comparison. Links are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from stateloom.llm.shared import free_name, kept
 
 COORDINATES = 288
 ROWS = 6  # coordinates of a band: at similarity 0.8, all 48 bands miss with probability 5e-7
-LEADER_ROUNDS = 3
 HELD_BYTES = 64 << 20  # shingle sets that a verifying task keeps for the next batch
 MAX = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -54,7 +53,8 @@ def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndar
     own = span_hashes(prefix_sums(low), starts, ends)
     rolled = own.copy()
     for k in range(1, words):
-        rolled[: len(own) - k] = mix(rolled[: len(own) - k] * U64(31) + own[k:])
+        n = max(0, len(own) - k)
+        rolled[:n] = mix(rolled[:n] * U64(31) + own[k : k + n])
     parts, bounds = [], [0]
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= words:
@@ -187,33 +187,30 @@ def near_duplicates(documents: DataFrame, doc: str = "doc_id", text: str = "text
     sources = documents.select(F.col(doc).cast("long").alias("doc"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     same = sources["doc"].eqNullSafe(chosen["doc"]) & (sources["text_hash"] == chosen["text_hash"])
     texts = kept(sources.join(chosen, same).select("class", "text").dropDuplicates(["class"]), "near-texts")
-    placed, links, tested = members.withColumn("root", F.col("class")), None, None
-    for number in range(LEADER_ROUNDS + 1):
-        last = number == LEADER_ROUNDS
-        pairs = fitting(pairs_by_prefix(placed, texts, options) if last else pairs_with_leaders(placed, number), options)
-        pairs = kept(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = kept(verified(pairs, texts, options), "near-links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links).select(F.col("node").alias("class"), F.col("root").alias("component"))
-        if last:
-            break
-        placed = members.join(roots, "class", "left").withColumn("root", F.coalesce("component", "class")).drop("component")
-        mixed = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("bucket")
-        placed = kept(placed.join(mixed, "bucket"), "near-open")
+    tested = kept(fitting(pairs_with_leaders(members), options), "near-pairs")
+    links = kept(verified(tested, texts, options), "near-links")
+    placed = members.join(by_class(links), "class", "left").withColumn("root", F.coalesce("component", "class")).drop("component")
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("bucket")
+    placed = placed.join(mixed, "bucket").select("class", "size", "root").distinct()
+    rest = fitting(pairs_by_prefix(kept(placed, "near-open"), texts, options), options).join(tested, ["a", "b"], "left_anti")
+    roots = by_class(links.unionByName(kept(verified(kept(rest, "near-pairs"), texts, options), "near-links")))
     return rows.join(roots, "class", "left").select(
         "doc", "text_hash", "n_shingles", "class", F.coalesce("component", "class").alias("component")
     )
 
 
-def pairs_with_leaders(placed: DataFrame, number: int) -> DataFrame:
-    drawn = F.xxhash64("class", "bucket", F.lit(number))
-    leaders = placed.groupBy("bucket").agg(F.min_by(F.struct("class", "size", "root"), drawn).alias("l"))
-    joined = placed.join(leaders, "bucket").filter(F.col("root") != F.col("l.root"))
+def by_class(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("class"), F.col("root").alias("component"))
+
+
+def pairs_with_leaders(members: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's leader: another one in every bucket, even where members recur."""
+    leaders = members.groupBy("bucket").agg(F.min_by(F.struct("class", "size"), F.xxhash64("class", "bucket")).alias("l"))
+    joined = members.join(leaders, "bucket").filter(F.col("class") != F.col("l.class"))
     return joined.select("class", "size", F.col("l.class").alias("other"), F.col("l.size").alias("other_size"))
 
 
-def pairs_by_prefix(placed: DataFrame, texts: DataFrame, options: Options) -> DataFrame:
+def pairs_by_prefix(nodes: DataFrame, texts: DataFrame, options: Options) -> DataFrame:
     """Pairs of different components that share a shingle among the rarest of both: an exact filter.
 
     Of a set of n, the n - ceil(n * percent / 100) + 1 rarest are enough, by one order for all sets. Of a shingle's
@@ -229,7 +226,6 @@ def pairs_by_prefix(placed: DataFrame, texts: DataFrame, options: Options) -> Da
                 {"class": pa.array(np.repeat(np.array(list(sets), object), sizes), pa.binary()), "shingle": pa.array(np.concatenate([*sets.values()]).view(np.int64))}
             )
 
-    nodes = placed.select("class", "size", "root").distinct()
     tokens = kept(texts.join(nodes, "class", "left_semi").mapInArrow(explode, "class binary, shingle long"), "near-tokens")
     common = tokens.groupBy("shingle").agg(F.count("*").alias("n"))
     in_class = Window.partitionBy("class")
@@ -246,8 +242,9 @@ def pairs_by_prefix(placed: DataFrame, texts: DataFrame, options: Options) -> Da
     mixed = postings.join(shared.select("shingle", "major"), "shingle")
     seekers = mixed.filter("root <> major").drop("major")
     others = mixed.select("shingle", *[F.col(c).alias("other" if c == "class" else f"other_{c}") for c in ("class", "size", "known", "root", "rank")])
-    # only shingles known from another set can be common: so many up to this one, and so many after it
-    most = F.least("rank", "other_rank") + F.least(F.col("known") - F.col("rank"), F.col("other_known") - F.col("other_rank"))
+    # only shingles known from another set can be common: if this is the first that is, so many at most. A similar
+    # pair passes at its first common shingle, whatever becomes of it at the others
+    most = 1 + F.least(F.col("known") - F.col("rank"), F.col("other_known") - F.col("other_rank"))
     enough = (100 + options.percent) * most >= options.percent * (F.col("size") + F.col("other_size"))
     apart = (F.col("root") != F.col("other_root")) & enough & size_fits(F.col("size"), F.col("other_size"), options.percent)
     return seekers.join(others, "shingle").filter(apart).select("class", "size", "other", "other_size")
