@@ -24,7 +24,7 @@ from stateloom.llm.url_filter import url_host
 SALTS = 16
 MAIN_TAGS = ("article", "main")
 CONSTANT_PAGES = 3  # so many pages of a host must agree before an equal text is template
-SHARE = 0.5  # without an article element, content is the deepest node with this share of the varying text
+SHARE = 0.5  # without an article element, content is the deepest node that holds others and has this share of the varying text
 
 
 def shape_and_blocks(page: str) -> tuple[str, list[int], list[str]]:
@@ -91,7 +91,7 @@ def content_nodes(wrapper: Node, stats: dict[int, tuple[int, bool, int]]) -> lis
     """Numbers of the wrapper's content slots. `stats`: pages, whether the text varies, characters, by node.
 
     With article or main elements: all nodes inside them, less what is set aside. Without: inside the
-    deepest node with most of the varying text, the nodes that vary. If nothing varies (one page, or copies of
+    deepest node that holds others and most of the varying text, the nodes that vary. If nothing varies (one page, or copies of
     one page), everything counts as varying.
     """
     nodes = [n for _, n in preorder(wrapper)]
@@ -112,7 +112,7 @@ def content_nodes(wrapper: Node, stats: dict[int, tuple[int, bool, int]]) -> lis
     mass = {id(n): sum(stats[k][2] for k in inside(n) if k in slots) for n in nodes}
     best = wrapper
     while True:
-        deeper = [c for c in best.children if not is_aside(c.label) and mass[id(c)] > SHARE * mass[id(wrapper)]]
+        deeper = [c for c in best.children if c.children and not is_aside(c.label) and mass[id(c)] > SHARE * mass[id(wrapper)]]
         if not deeper:
             return sorted(k for k in inside(best) if k in slots)
         best = deeper[0]
