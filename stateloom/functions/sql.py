@@ -8,11 +8,11 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from stateloom.functions.clock import UTC_NAMES
+from stateloom.functions.text import NUMBER
 
 BODIES = {
     "numeric_text(x STRING) RETURNS STRING": (
-        "CASE WHEN lower(right(trim(x), 1)) IN ('d', 'f') AND lower(trim(x)) NOT IN ('inf', '+inf', '-inf') "
-        "THEN concat(x, '?') ELSE x END"
+        f"CASE WHEN x RLIKE r'{NUMBER}' THEN x ELSE concat(x, '?') END"
     ),
     "comma_decimal(x STRING) RETURNS DOUBLE": "CAST(numeric_text(replace(x, ',', '.')) AS DOUBLE)",
     "rounded_int(x STRING) RETURNS INT": "CAST(round(CAST(numeric_text(x) AS DOUBLE)) AS INT)",

@@ -39,11 +39,13 @@ def double_text(value: str) -> Column:
     return F.expr(double_text_sql(value))
 
 
+# Decimal text, infinities and NaN. Java also reads '1.5d' and '0x1p3' as numbers; those are spoiled, so that a cast
+# refuses them.
+NUMBER = r"(?i)^\s*[+-]?(?:(?:[0-9]+[.]?[0-9]*|[.][0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
+
+
 def _numeric_text(text: Column) -> Column:
-    # Java reads '1.5d' and '1.5f' as numbers; spoil such text so that the cast refuses it.
-    tail = F.lower(F.right(F.trim(text), F.lit(1)))
-    infinite = F.lower(F.trim(text)).isin("inf", "+inf", "-inf")
-    return F.when(tail.isin("d", "f") & ~infinite, F.concat(text, F.lit("?"))).otherwise(text)
+    return F.when(text.rlike(NUMBER), text).otherwise(F.concat(text, F.lit("?")))
 
 
 def comma_decimal(text: Column, lenient: bool = False) -> Column:

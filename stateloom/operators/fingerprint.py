@@ -20,9 +20,9 @@ def fold_md5(digest: Column) -> Column:
 
 
 def row_checksum(df: DataFrame) -> DataFrame:
-    """Row count and the sum of each row's first eight key digits."""
+    """Row count and, as text, the sum of each row's first fifteen key digits."""
     digest = load_key(df)
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(_hex(digest, 1, 8)), F.lit(0).cast("bigint")).alias("row_checksum"),
+        F.coalesce(F.sum(_hex(digest, 1, 15).cast("decimal(20,0)")).cast("string"), F.lit("0")).alias("row_checksum"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stateloom.functions.cells import cell_text
+from stateloom.functions.keys import quoted
 
 # Table column -> display heading, in display order.
 DISPLAY_COLUMNS = {
@@ -20,7 +21,7 @@ DISPLAY_COLUMNS = {
 
 def renamed(df: DataFrame, layout: dict[str, str] | None = None) -> DataFrame:
     """The layout's columns under their headings, values untouched. A missing one is an error."""
-    return df.select(*[F.col(source).alias(heading) for source, heading in (layout or DISPLAY_COLUMNS).items()])
+    return df.select(*[F.col(quoted(source)).alias(heading) for source, heading in (layout or DISPLAY_COLUMNS).items()])
 
 
 def stringified(df: DataFrame) -> DataFrame:

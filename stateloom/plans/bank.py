@@ -13,6 +13,10 @@ from stateloom.sources.mappings import bundled_mapping
 # Fixed values of the T Bank models.
 STATUSES = ["OK", "FAILED"]
 CURRENCIES = ["RUB"]
+AMOUNT_COLUMNS = (
+    "Сумма операции", "Сумма платежа", "Кэшбэк", "Бонусы (включая кэшбэк)", "Округление на инвесткопилку",
+    "Сумма операции с округлением",
+)
 REWARD_CATEGORY = "Cashback"
 REWARD_DESCRIPTION = "Cashback and other rewards"
 VIEW_SCHEMA = (
@@ -29,6 +33,7 @@ class Bank:
     zone: str = MOSCOW
     documented_date: bool = False
     dedup_within_batch: bool = False
+    amount_columns: Sequence[str] = AMOUNT_COLUMNS
     mapping: Sequence[MappingRow] = field(default_factory=bundled_mapping)
     checks: dict[str, list[Check]] = field(default_factory=lambda: default_checks())
 

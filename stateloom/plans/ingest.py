@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +41,10 @@ def ingest(
 ) -> dict[str, int]:
     """Counts of ingested and skipped files.
 
-    Each table with new files is rewritten to hold exactly those files' rows, then its files enter
-    the ledger: the ledger entry is the commit. A table without new files keeps its rows, and so
-    does one whose new files fail to load.
+    A table with new files comes to hold their rows: instead of what it held, if that has been
+    staged, else besides it. Then its files enter the ledger: the ledger entry is the commit. A table
+    without new files keeps its rows, and so does one whose new files fail to load. Every call is an
+    attempt of its own, so that a run id may be used again.
     """
     found = with_digests(statement_files(spark, root, any_case))
     # Hashing reads every byte of the inbox, so its outcome is kept rather than recomputed below.
@@ -53,8 +55,11 @@ def ingest(
     for table_name in tables:
         rows = read_statements(spark, new_files(classified, table_name), mode=mode)
         stamped = rows.withColumn(INGESTED_AT, run_stamp(run_ts))
-        table_run = f"{run_id}-{table_name}"
-        warehouse.raw(table_name).overwrite(stamped, table_run)
+        table_run = f"{run_id}-{table_name}-{uuid.uuid4().hex[:12]}"
+        if warehouse.is_staged(table_name):
+            warehouse.raw(table_name).overwrite(stamped, table_run)
+        else:
+            warehouse.raw(table_name).append(stamped, table_run, warehouse.ledger_rows())
         entries = ledger_entries(fresh.filter(F.col("table_name") == table_name), run_ts, table_run)
         warehouse.ledger().append(entries, table_run)
     return {"ingested": counts["ingested"], "skipped": counts["skipped"]}

@@ -174,7 +174,7 @@ select p_partkey, coalesce(nullif(trim(regexp_replace(regexp_replace(
 from part""",
     "snapshot_manifest": f"""with {VIEW}
 select count(*) as row_count,
-  cast(coalesce(sum(cast('0x' || substr({_load_key(_VIEW_TEXTS)}, 1, 8) as bigint)), 0) as bigint) as row_checksum
+  cast(coalesce(sum(cast('0x' || substr({_load_key(_VIEW_TEXTS)}, 1, 15) as bigint)), 0) as varchar) as row_checksum
 from bank_view""",
     "bookmark_delta": f"""with {_MIDDLE},
 mark as (select ts as last_ts, event_id as last_id from events where ts < (select mid from middle)
@@ -337,7 +337,8 @@ rows as (
 ),
 junk as (
   select order_key,
-    case when order_key % 97 = 0 then 'invalid' when order_key % 89 = 0 then amount || 'd' else amount end as amount,
+    case when order_key % 97 = 0 then 'invalid' when order_key % 89 = 0 then amount || 'd'
+      when order_key % 79 = 0 then '0x1p3' else amount end as amount,
     case when order_key % 83 <> 0 then descr else ' ' end as description
   from rows
 ),

@@ -21,7 +21,7 @@ from stateloom.operators.layout import display_tolerant, events_export, renamed,
 from stateloom.operators.mapping import align, run_stamp
 from stateloom.operators.retention import pending_archive, retention_plan
 from stateloom.plans.feed import (
-    RUN_TS, core_feed, feed, mart_feed, spread, staged_feed, table, view_feed,
+    RUN_TS, core_feed, feed, mart_feed, staged_feed, table, view_feed,
 )
 from stateloom.quality.checks import (
     between, column_exists, duplicate_keys, in_set, not_null, null_counts, rejected_values, row_rule, run_checks, unique,
@@ -71,7 +71,7 @@ def business_key_query(spark, sf):
 def business_key_large(spark, sf):
     """Amounts a thousand times as large, where plain and exponent text forms part ways."""
     key = business_key("t_bank", "o_orderdate", "o_totalprice * 1000", "cast(null as string)")
-    return spread(table(spark, sf, "orders")).select(
+    return table(spark, sf, "orders").select(
         "o_orderkey", double_text("o_totalprice * 1000").alias("amount_text"), key.alias("transaction_bk")
     )
 
@@ -190,7 +190,7 @@ def incremental_lookback(spark, sf):
 
 
 def anti_join_new_rows(spark, sf):
-    events = spread(table(spark, sf, "events"))
+    events = table(spark, sf, "events")
     keyed = events.select("event_id", "ts", load_key(events).alias("__load_key"))
     return unseen(keyed, first_half(keyed), "__load_key").select("event_id", "__load_key")
 
@@ -360,7 +360,7 @@ def quarantine_bad_values(spark, sf):
     amount = F.col("`Сумма операции`")
     rows = feed(spark, sf).select(
         key.alias("order_key"),
-        F.when(key % 97 == 0, F.lit("invalid")).when(key % 89 == 0, F.concat(amount, F.lit("d"))).otherwise(amount).alias("amount"),
+        F.when(key % 97 == 0, F.lit("invalid")).when(key % 89 == 0, F.concat(amount, F.lit("d"))).when(key % 79 == 0, F.lit("0x1p3")).otherwise(amount).alias("amount"),
         F.when(key % 83 != 0, F.col("Описание")).otherwise(F.lit(" ")).alias("description"),
     )
     return with_problems(rows, ["amount"], ["description"]).withColumn(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,20 @@ from stateloom.sinks.tables import TableStore
 from stateloom.sources.files import find_files
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark resolves it to: `/data` is not on the executor's own disk on a cluster."""
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    inner = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return inner.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(inner).toString()
+
+
 def _file_system(root: str):
+    """The Arrow file system of a qualified path, and the path inside it."""
     from pyarrow import fs
 
-    if "://" in root and not root.startswith("file:"):
-        return fs.FileSystem.from_uri(root)
-    return fs.LocalFileSystem(), "/" + root.removeprefix("file:").lstrip("/")
+    if root.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + root.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(quote(root, safe=":/@"))
 
 
 def _moves(root: str):
@@ -56,7 +65,7 @@ def archive_files(spark: SparkSession, warehouse: Warehouse, root: str, run_ts:
     ledger = warehouse.ledger_rows()
     pending = pending_archive(ledger).select("src_path", "archived_path").dropDuplicates(["src_path"])
     moved = checkpoint(
-        pending.repartition(spark.sparkContext.defaultParallelism).mapInPandas(_moves(root.rstrip("/")), "src_path string, archived_path string, outcome string")
+        pending.repartition(spark.sparkContext.defaultParallelism).mapInPandas(_moves(qualified(spark, root)), "src_path string, archived_path string, outcome string")
     )
     archived = moved.filter(F.col("outcome") == "archived")
     if not archived.isEmpty():
@@ -83,7 +92,7 @@ def prune_snapshots(spark: SparkSession, exports: str, keep: int = KEEP_SNAPSHOT
     plan = retention_plan(snapshot_folders(spark, exports), keep=keep)
     doomed = [row["folder"] for row in plan.filter(F.col("action") == "delete").select("folder").collect()]
     kept = plan.filter(F.col("action") == "keep").count()
-    system, base = _file_system(exports.rstrip("/"))
+    system, base = _file_system(qualified(spark, exports))
     for folder in doomed:
         system.delete_dir(f"{base}/{folder}")
     return {"deleted_count": len(doomed), "kept_count": kept}
@@ -96,7 +105,7 @@ def drop_expired(store: TableStore, keep: int = 2) -> list[str]:
     """
     from pyarrow import fs
 
-    system, base = _file_system(store.path)
+    system, base = _file_system(qualified(store.spark, store.path))
     dropped = []
     for folder in store.expired_dirs(keep):
         if system.get_file_info(f"{base}/{folder}").type == fs.FileType.Directory:

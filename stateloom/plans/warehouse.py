@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stateloom.sinks.tables import TableStore
 
@@ -36,6 +37,9 @@ class Warehouse:
     def staging(self, source: str) -> TableStore:
         return self._store(f"stg/{source}_transactions")
 
+    def set_aside(self, source: str) -> TableStore:
+        return self._store(f"quarantine/{source}_transactions")
+
     def core(self, source: str) -> TableStore:
         return self._store(f"core/{source}_transactions", MONTH)
 
@@ -46,6 +50,21 @@ class Warehouse:
         rows = self.ledger().read_or_none()
         return rows if rows is not None else self.spark.createDataFrame([], LEDGER_SCHEMA)
 
+    def raw_staged(self) -> TableStore:
+        """table_name, version: up to which version the rows of a raw table have reached staging."""
+        return self._store("meta/raw_staged")
+
+    def is_staged(self, table_name: str) -> bool:
+        """Whether the raw table, as far as the ledger confirms it, has nothing that staging lacks."""
+        newest = self.raw(table_name).current(self.ledger_rows())
+        rows = self.raw_staged().read_or_none()
+        noted = None if rows is None else rows.filter(F.col("table_name") == table_name).agg(F.max("version")).first()[0]
+        return newest is None or (noted is not None and noted >= newest.version)
+
+    def note_staged(self, table_name: str, version: int, run_id: str) -> None:
+        rows = self.spark.createDataFrame([(table_name, version)], "table_name string, version bigint")
+        self.raw_staged().upsert(rows, "table_name", f"{run_id}-{table_name}-{version}")
+
     def passed_versions(self, source: str) -> dict[str, int]:
         """Layer -> the version that last passed all checks of a whole build."""
         rows = self._store(f"meta/{source}_passed").read_or_none()

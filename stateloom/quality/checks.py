@@ -14,6 +14,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stateloom.functions.keys import quoted
+
 REPORT_COLUMNS = ("check_name", "column_name", "severity", "failures", "passed")
 
 
@@ -33,7 +35,7 @@ class Check:
 
     def broken(self) -> Column:
         """Whether a row breaks the check. NULL passes everything but not_null."""
-        value = F.col(self.column) if self.kind != "rule" else None
+        value = F.col(quoted(self.column)) if self.kind != "rule" else None
         if self.kind == "not_null":
             return value.isNull()
         if self.kind in ("accepted_values", "in_set"):
@@ -114,7 +116,7 @@ def _entry(check: Check, failures: Column) -> Column:
 def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
     """Keys that occur more than once, with their counts; NULL is not a key."""
     return (
-        df.filter(F.col(column).isNotNull())
+        df.filter(F.col(quoted(column)).isNotNull())
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("n_records"))
         .filter(F.col("n_records") > 1)
@@ -124,8 +126,8 @@ def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
 def rejected_values(df: DataFrame, column: str, values: Sequence[Any]) -> DataFrame:
     """Values outside the accepted set with their counts; NULL is accepted."""
     return (
-        df.filter(F.col(column).isNotNull() & ~F.col(column).isin(*values))
-        .groupBy(F.col(column).alias("value_field"))
+        df.filter(F.col(quoted(column)).isNotNull() & ~F.col(quoted(column)).isin(*values))
+        .groupBy(F.col(quoted(column)).alias("value_field"))
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
 

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LONG_TEXT = 64
+from stateloom.functions.keys import quoted
 
 
 def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(
-        F.count(F.lit(1)).alias("total_rows"), *[F.count(c).alias(f"{c}_complete") for c in columns]
+        F.count(F.lit(1)).alias("total_rows"), *[F.count(quoted(c)).alias(f"{c}_complete") for c in columns]
     )
 
 
@@ -21,14 +21,14 @@ def metrics(df: DataFrame, complete: Sequence[str], measure: str, digits: int |
     """Completeness ratios, and mean and sample deviation of one measure, all as doubles."""
     rows = F.count(F.lit(1)).cast("double")
     # a NULL cell drops out of AVG and STDDEV, as in SQL
-    value = F.col(measure).cast("double")
+    value = F.col(quoted(measure)).cast("double")
 
     def shown(figure: Column) -> Column:
         return figure if digits is None else F.round(figure, digits)
 
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *[shown(F.count(c).cast("double") / F.nullif(rows, F.lit(0.0))).alias(f"{c}_completeness") for c in complete],
+        *[shown(F.count(quoted(c)).cast("double") / F.nullif(rows, F.lit(0.0))).alias(f"{c}_completeness") for c in complete],
         shown(F.avg(value)).alias(f"avg_{measure}"),
         shown(F.stddev_samp(value)).alias(f"{measure}_stddev"),
     )
@@ -36,17 +36,14 @@ def metrics(df: DataFrame, complete: Sequence[str], measure: str, digits: int |
 
 def value_ranges(df: DataFrame, columns: Sequence[str], invalid: dict[str, Column]) -> DataFrame:
     """Smallest and largest value per column, and how many rows meet each `invalid` condition."""
-    bounds = [f(c).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
+    bounds = [f(quoted(c)).alias(f"{name}_{c}") for c in columns for name, f in (("min", F.min), ("max", F.max))]
     return df.agg(*bounds, *[F.count_if(condition).alias(name) for name, condition in invalid.items()])
 
 
 def _distinct_form(df: DataFrame, name: str) -> Column:
-    # long text travels through the shuffle as its SHA-256; the marks keep it apart from short text
-    column = F.col(name)
-    if not isinstance(df.schema[name].dataType, T.StringType):
-        return column
-    long = F.concat(F.lit("#"), F.sha2(column, 256))
-    return F.when(F.length(column) > LONG_TEXT, long).otherwise(F.concat(F.lit("="), column))
+    # text travels through the shuffle as its SHA-256
+    column = F.col(quoted(name))
+    return F.sha2(column, 256) if isinstance(df.schema[name].dataType, T.StringType) else column
 
 
 def uniqueness(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stateloom.functions.keys import quoted
 from stateloom.functions.text import comma_decimal
 
 
@@ -20,8 +21,8 @@ def missing(text: Column) -> Column:
 
 def with_problems(df: DataFrame, amounts: Sequence[str] = (), required: Sequence[str] = ()) -> DataFrame:
     """Adds `problems`: the names of the row's broken columns, comma-separated, empty when sound."""
-    found = [F.when(bad_amount(F.col(c)), F.lit(c)) for c in amounts]
-    found += [F.when(missing(F.col(c)), F.lit(c)) for c in required]
+    found = [F.when(bad_amount(F.col(quoted(c))), F.lit(c)) for c in amounts]
+    found += [F.when(missing(F.col(quoted(c))), F.lit(c)) for c in required]
     return df.withColumn("problems", F.concat_ws(",", *found))
 
 

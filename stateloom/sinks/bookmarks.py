@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stateloom.operators.incremental import after_bookmark, newest_bookmark
+from stateloom.session import checkpoint
 from stateloom.sinks.tables import TableStore
 
 BOOKMARK_SCHEMA = "dataset string, last_ts timestamp_ntz, last_id bigint"
@@ -33,19 +34,15 @@ def export_delta(
     send: Callable[[DataFrame], object],
 ) -> int:
     """Send the newer rows, and move the bookmark only once `send` has returned."""
-    newer = delta(df, store, dataset, ts, row_id)
+    # evaluated once: rows that arrive while the export runs stay for the next one
+    newer = checkpoint(delta(df, store, dataset, ts, row_id))
     top = newest_bookmark(newer, ts, row_id).first()
     if top["last_ts"] is None:
         return 0
-    # rows that arrive while the export runs stay for the next one
-    bounded = newer.filter(
-        (F.col(ts) < F.lit(top["last_ts"].isoformat()).cast("timestamp_ntz"))
-        | ((F.col(ts) == F.lit(top["last_ts"].isoformat()).cast("timestamp_ntz")) & (F.col(row_id) <= top["last_id"]))
-    )
-    send(bounded)
+    send(newer)
     mark = df.sparkSession.createDataFrame([(dataset, top["last_ts"], top["last_id"])], BOOKMARK_SCHEMA)
     store.upsert(mark, "dataset", f"{run_id}-{dataset}")
-    return bounded.count()
+    return newer.count()
 
 
 def reset(store: TableStore, run_id: str, column: str, value: str) -> None:

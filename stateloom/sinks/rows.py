@@ -8,6 +8,8 @@ from itertools import islice
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Row
 
+from stateloom.session import checkpoint
+
 # append(batch_id, rows): a batch id names the same rows in every attempt of a task, so a consumer
 # that remembers ids can drop what a retried task sends again.
 Append = Callable[[str, list[list[str]]], None]
@@ -30,10 +32,15 @@ def append_rows(df: DataFrame, connect: Callable[[], Append], run_id: str, batch
 def append_if_any(
     df: DataFrame, connect: Callable[[], Append], run_id: str, header: Sequence[str] | None = None
 ) -> int:
-    """Send the rows and return their number; an empty frame sends nothing, not even the header."""
-    if df.isEmpty():
+    """Send the rows and return their number; an empty frame sends nothing, not even the header.
+
+    The frame is evaluated once, so that the number returned is the number sent.
+    """
+    df = checkpoint(df)
+    count = df.count()
+    if not count:
         return 0
     if header is not None:
         connect()(f"{run_id}-header", [list(header)])
     append_rows(df, connect, run_id)
-    return df.count()
+    return count

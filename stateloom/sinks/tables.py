@@ -8,6 +8,7 @@ and what it reads stays as it is while the next run writes. One writer at a time
 from __future__ import annotations
 
 import json
+import uuid
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -110,28 +111,34 @@ class TableStore:
     # -- writing
 
     def overwrite(self, rows: DataFrame, run_id: str) -> int:
-        """The table becomes `rows`."""
+        """The table becomes `rows`. A run id used before makes another commit; nothing committed is overwritten."""
         current = self.current()
         added, count = self._write(rows, f"data/{run_id}/all")
         self._commit(current, run_id, rows.schema, added)
         return count
 
-    def append(self, rows: DataFrame, run_id: str) -> int:
-        """Adds `rows`; a run that has committed already adds nothing again."""
+    def append(self, rows: DataFrame, run_id: str, committed_runs: DataFrame | None = None, again: bool = False) -> int:
+        """Adds `rows`; a run that has committed already adds nothing again, unless `again`.
+
+        With `committed_runs`, what stays is the newest version whose run is listed there.
+        """
         current, runs = self._load()
-        if run_id in runs:
+        if run_id in runs and not again:
             return 0
+        base = current if committed_runs is None else self.current(committed_runs)
         added, count = self._write(rows, f"data/{run_id}/new")
-        self._commit(current, run_id, rows.schema, (current.dirs if current else []) + added)
+        self._commit(current, run_id, rows.schema, (base.dirs if base else []) + added)
         return count
 
-    def upsert(self, batch: DataFrame, key: str, run_id: str) -> int:
+    def upsert(self, batch: DataFrame, key: str, run_id: str, again: bool = False) -> int:
         """Delete and insert by key: stored rows with a key of the batch go, the whole batch comes.
 
+        A run that has committed already changes nothing, unless `again`.
+
         Stored rows outside the partitions the batch touches are neither read nor rewritten.
         """
         current, runs = self._load()
-        if run_id in runs:
+        if run_id in runs and not again:
             return 0
         added, count = self._write(batch, f"data/{run_id}/batch")
         kept: list[tuple[str, str]] = []
@@ -148,12 +155,13 @@ class TableStore:
         return count
 
     def _write(self, rows: DataFrame, folder: str) -> tuple[list[tuple[str, str]], int]:
-        # A retry of a run that failed before its commit replaces what the first try left behind.
+        # every attempt has a folder of its own; what a failed one leaves is in no commit
+        folder = f"{folder}-{uuid.uuid4().hex}"
         placed = rows.withColumn(_PART, self.partition_by)
         if self.partitioned:
             # splits a partition that holds much of the batch over several tasks and files
             placed = placed.hint("rebalance", _PART)
-        placed.write.mode("overwrite").partitionBy(_PART).parquet(f"{self.path}/{folder}")
+        placed.write.partitionBy(_PART).parquet(f"{self.path}/{folder}")
         written = self.spark.read.format("parquet").schema(f"{_PART} string").load(f"{self.path}/{folder}")
         counts = {r[_PART]: r["count"] for r in written.groupBy(_PART).count().collect()}
         return [(part, f"{folder}/{_PART}={part}") for part in sorted(counts)], sum(counts.values())

@@ -1,8 +1,4 @@
-"""Digest, first line and quoting of one file, read as a stream.
-
-Only files too large to sit in an executor's memory as one value come here; the caller's frame
-has one such file per task.
-"""
+"""Digest, first line and quoting of files, each read as a stream in bounded memory."""
 
 from __future__ import annotations
 
@@ -15,6 +11,9 @@ import pandas as pd
 
 CHUNK = 1 << 22
 QUOTE, NEWLINE = 34, 10
+# what a quote that opens or closes a field stands next to: a separator, or the end of a line
+EDGES = np.zeros(256, bool)
+EDGES[[ord(c) for c in ",;\t|\r\n"]] = True
 
 
 def open_stream(path: str):
@@ -30,21 +29,29 @@ def open_stream(path: str):
 
 
 def scan_file(path: str) -> tuple[str, str, bool]:
-    """(md5, first line, whether a line break sits inside quotes) in one bounded-memory pass."""
-    digest, first, ended, quotes, wrapped = hashlib.md5(), bytearray(), False, 0, False
+    """(md5, first line, whether a line break sits inside quotes) in one bounded-memory pass.
+
+    Only quotes at the edge of a field count, so that a stray one inside a value does not matter.
+    """
+    digest, first, ended, inside, wrapped = hashlib.md5(), bytearray(), False, False, False
+    held = b"\n"  # the byte before the next chunk and, but at the start, one that waits for its successor
     with open_stream(path) as stream:
-        while chunk := stream.read(CHUNK):
+        while True:
+            chunk = stream.read(CHUNK)
             digest.update(chunk)
             if not ended:
                 head, newline, _ = chunk.partition(b"\n")
                 first += head
                 ended = bool(newline)
             if not wrapped:
-                codes = np.frombuffer(chunk, np.uint8)
-                before = quotes + np.cumsum(codes == QUOTE)
-                wrapped = bool((before[codes == NEWLINE] & 1).any())
-                quotes = int(before[-1] & 1)
-    return digest.hexdigest(), first.decode("utf-8", "replace"), wrapped
+                codes = np.frombuffer(held + (chunk or b"\n"), np.uint8)
+                edge = (codes[1:-1] == QUOTE) & (EDGES[codes[:-2]] | EDGES[codes[2:]])
+                open_ = (np.cumsum(edge) + inside) & 1
+                wrapped = bool(open_[codes[1:-1] == NEWLINE].any())
+                inside = bool(open_[-1]) if len(open_) else inside
+                held = codes[-2:].tobytes()
+            if not chunk:
+                return digest.hexdigest(), first.decode("utf-8", "replace"), wrapped
 
 
 def scan_batches(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:

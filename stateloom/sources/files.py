@@ -17,10 +17,6 @@ from stateloom.sources.digests import scan_batches
 INBOX_PATH = "To Parse/Bank"
 SETTLE_SECONDS = 8
 
-# A file up to this size is hashed as one in-memory value; a larger one is read as a stream.
-IN_MEMORY_BYTES = 64 << 20
-HEADER_BYTES = 1 << 16
-
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -72,32 +68,14 @@ def settled(modified: Column, as_of: dt.datetime | None, seconds: int = SETTLE_S
     return modified <= now - F.expr(f"INTERVAL {int(seconds)} SECONDS")
 
 
-def with_digests(files: DataFrame, in_memory_bytes: int = IN_MEMORY_BYTES) -> DataFrame:
-    """Adds md5, first line and whether quoted fields hold line breaks, in one read of each file.
+def with_digests(files: DataFrame) -> DataFrame:
+    """Adds md5, first line and whether quoted fields hold line breaks, in one streamed read of each file.
 
-    Needs `path`, `content` and `size`. The size test reaches the file reader, so neither branch
-    opens the other branch's files.
+    Needs `path`; `content` is dropped, so that Spark's reader only lists.
     """
-    plain = [c for c in files.columns if c != "content"]
-    small = files.filter(F.col("size") <= in_memory_bytes)
-    text = F.col("content").cast("string")
-    head = F.substring("content", 1, HEADER_BYTES).cast("string")
-    whole_head = (F.locate("\n", head) > 0) | (F.col("size") <= HEADER_BYTES)
-    odd_quotes = F.exists(
-        F.split(text, "\n"), lambda line: (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
-    )
-    small = small.select(
-        *plain,
-        F.md5("content").alias("md5"),
-        F.substring_index(F.when(whole_head, head).otherwise(text), "\n", 1).alias("header"),
-        odd_quotes.alias("quoted_breaks"),
-    )
-    large = files.filter(F.col("size") > in_memory_bytes).drop("content")
-    if large.isEmpty():  # a look at the listing only
-        return small
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in large.schema.fields)
-    large = large.mapInPandas(scan_batches, f"{fields}, md5 string, header string, quoted_breaks boolean")
-    return small.unionByName(large)
+    listed = files.drop("content")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in listed.schema.fields)
+    return listed.mapInPandas(scan_batches, f"{fields}, md5 string, header string, quoted_breaks boolean")
 
 
 def classify(files: DataFrame, ledger: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ is not read again; the batch ingest with its (path, md5) ledger is the one that
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,15 +59,18 @@ def append_unseen(
 ) -> StreamingQuery:
     """Append the rows whose key the table lacks, for what is there now, then stop.
 
-    A batch is committed to the table under its own number, so a batch replayed after a failure
-    adds nothing twice. Repeated keys within one batch stay, as in the batch ingest.
+    A batch is committed to the table under the query's id and its own number, so a batch replayed
+    after a failure adds nothing twice, while a new checkpoint, whose numbers begin again, has an
+    id of its own. Repeated keys within one batch stay, as in the batch ingest.
     """
+    spark = stream.sparkSession
 
     def write(batch: DataFrame, number: int) -> None:
         stamp = run_ts or dt.datetime.now(dt.timezone.utc)
         stored = store.read_or_none()
         fresh = batch if stored is None else unseen_in_store(batch, stored, LOAD_KEY)
-        store.append(fresh.withColumn(INGESTED_AT, run_stamp(stamp)), f"{name}-{number}")
+        query = json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+        store.append(fresh.withColumn(INGESTED_AT, run_stamp(stamp)), f"{name}-{query}-{number}")
 
     return (
         stream.writeStream.queryName(name)

@@ -12,7 +12,7 @@ from stateloom.plans.bank import Bank
 from stateloom.plans.build import backfill, build, combined
 from stateloom.plans.ingest import ingest
 from stateloom.plans.run import run
-from stateloom.plans.upkeep import prune_snapshots
+from stateloom.plans.upkeep import archive_files, prune_snapshots
 from stateloom.plans.warehouse import Warehouse
 from stateloom.quality.gate import ContractError, QualityError
 from stateloom.sinks.snapshot import check_header, check_manifest, read_manifest
@@ -20,10 +20,10 @@ from stateloom.sinks.snapshot import check_header, check_manifest, read_manifest
 from .conftest import LATER, RUN1, RUN2, RUN3, RUN4, inbox, statement_row, tuples, write_statement
 
 FIRST = [
-    statement_row("20.09.2025 17:09:04", "-11405,00", card="", category="Переводы", mcc=""),
-    statement_row("20.09.2025 15:45:59", "-2210,00", reward="21,00", cashback="21"),
-    statement_row("20.09.2025 15:36:52", "-412,00", reward="4,00", cashback="4"),
-    statement_row("20.09.2025 15:31:57", "-1880,00", reward="18,00", cashback="18", status="FAILED"),
+    statement_row("14.09.2025 08:11:05", "-730,00", card="", category="Переводы", mcc=""),
+    statement_row("14.09.2025 13:02:41", "-955,00", reward="9,00", cashback="9"),
+    statement_row("14.09.2025 12:50:33", "-268,00", reward="4,00", cashback="4"),
+    statement_row("14.09.2025 12:20:19", "-1475,00", reward="14,00", cashback="14", status="FAILED"),
 ]
 VIEW_COLUMNS = [
     "bank_nm", "category_nm", "description", "transaction_amt", "transaction_currency_cd", "transaction_dt"
@@ -47,11 +47,11 @@ def test_run_end_to_end_and_again(spark, tmp_path):
     assert view.columns == VIEW_COLUMNS
     assert tuples(view, "category_nm", "transaction_amt", "transaction_dt") == sorted(
         [
-            ("Cashback", 21.0, dt.date(2025, 9, 20)),
-            ("Cashback", 4.0, dt.date(2025, 9, 20)),
-            ("Маркетплейсы", -2210.0, dt.date(2025, 9, 20)),
-            ("Маркетплейсы", -412.0, dt.date(2025, 9, 20)),
-            ("Переводы", -11405.0, dt.date(2025, 9, 20)),
+            ("Cashback", 9.0, dt.date(2025, 9, 14)),
+            ("Cashback", 4.0, dt.date(2025, 9, 14)),
+            ("Маркетплейсы", -955.0, dt.date(2025, 9, 14)),
+            ("Маркетплейсы", -268.0, dt.date(2025, 9, 14)),
+            ("Переводы", -730.0, dt.date(2025, 9, 14)),
         ],
         key=repr,
     )
@@ -95,7 +95,7 @@ def test_later_batches_upsert_only_their_month(spark, tmp_path):
     build(spark, warehouse, bank, RUN1, "r1")
 
     # a known row is staged no second time, a new one is
-    write_statement(inbox(root) / "b.csv", [FIRST[2], statement_row("21.09.2025 09:00:00", "-7,00")])
+    write_statement(inbox(root) / "b.csv", [FIRST[2], statement_row("15.09.2025 09:00:00", "-7,00")])
     assert ingest(spark, warehouse, str(root), RUN2, "r2", LATER) == {"ingested": 1, "skipped": 1}
     assert warehouse.raw("t_bank_transactions").read().count() == 2  # raw holds this run's files only
     build(spark, warehouse, bank, RUN2, "r2")
@@ -103,16 +103,16 @@ def test_later_batches_upsert_only_their_month(spark, tmp_path):
     spring = [d for part, d in warehouse.core("t_bank").current().dirs if part == "2024-03"]
 
     # a known business key with a new category, beyond the lookback of its first version
-    changed = statement_row("20.09.2025 15:45:59", "-2210,00", reward="21,00", cashback="21", category="Книги")
+    changed = statement_row("14.09.2025 13:02:41", "-955,00", reward="9,00", cashback="9", category="Книги")
     # and one whose status has turned: the mart's batch holds successful rows only, so its old row stays
-    turned = statement_row("20.09.2025 15:36:52", "-412,00", reward="4,00", cashback="4", status="FAILED")
+    turned = statement_row("14.09.2025 12:50:33", "-268,00", reward="4,00", cashback="4", status="FAILED")
     write_statement(inbox(root) / "c.csv", [changed, turned])
     ingest(spark, warehouse, str(root), RUN3, "r3", LATER)
     build(spark, warehouse, bank, RUN3, "r3")
     assert warehouse.staging("t_bank").read().count() == 8
     core = warehouse.core("t_bank").read()
     assert core.count() == 6
-    assert [r.category_nm for r in core.filter("transaction_amt = -2210").collect()] == ["Книги"]
+    assert [r.category_nm for r in core.filter("transaction_amt = -955").collect()] == ["Книги"]
     assert [d for part, d in warehouse.core("t_bank").current().dirs if part == "2024-03"] == spring
     assert core.filter("status_nm = 'OK'").count() == 4
     assert warehouse.mart("t_bank").read().count() == 5
@@ -130,7 +130,7 @@ def test_later_batches_upsert_only_their_month(spark, tmp_path):
 def test_gate_stops_downstream(spark, tmp_path):
     root, house = tmp_path / "data", str(tmp_path / "house")
     # equal time, amount and card: one business key twice
-    write_statement(inbox(root) / "a.csv", [FIRST[1], statement_row("20.09.2025 15:45:59", "-2210,00", description="x")])
+    write_statement(inbox(root) / "a.csv", [FIRST[1], statement_row("14.09.2025 13:02:41", "-955,00", description="x")])
     warehouse, bank = Warehouse(spark, house), Bank()
     ingest(spark, warehouse, str(root), RUN1, "r1", LATER)
     with pytest.raises(QualityError, match=r"core: unique\(transaction_bk\): 1"):
@@ -144,6 +144,62 @@ def test_gate_stops_downstream(spark, tmp_path):
         build(spark, warehouse, bank, RUN3, "r2")
 
 
+def test_one_run_id_twice_loses_nothing(spark, tmp_path):
+    root, house = tmp_path / "data", str(tmp_path / "house")
+    warehouse, bank = Warehouse(spark, house), Bank()
+    write_statement(inbox(root) / "a.csv", FIRST[:1])
+    ingest(spark, warehouse, str(root), RUN1, "r1", LATER)
+    write_statement(inbox(root) / "b.csv", FIRST[1:2])
+    assert ingest(spark, warehouse, str(root), RUN1, "r1", LATER) == {"ingested": 1, "skipped": 1}
+    assert warehouse.ledger_rows().count() == 2
+    build(spark, warehouse, bank, RUN1, "r1")
+    assert warehouse.staging("t_bank").read().count() == 2
+    write_statement(inbox(root) / "c.csv", FIRST[2:3])
+    ingest(spark, warehouse, str(root), RUN1, "r1", LATER)
+    build(spark, warehouse, bank, RUN1, "r1")
+    assert warehouse.staging("t_bank").read().count() == warehouse.core("t_bank").read().count() == 3
+    build(spark, warehouse, bank, RUN1, "r1", full_refresh=True)
+    assert archive_files(spark, warehouse, str(root), RUN1, "arch").count() == 3
+    write_statement(inbox(root) / "d.csv", FIRST[3:])
+    ingest(spark, warehouse, str(root), RUN1, "r1", LATER)
+    archive_files(spark, warehouse, str(root), RUN1, "arch")
+    ledger = warehouse.ledger_rows().collect()
+    assert len(ledger) == 4 and all(r.archived_at == RUN1 for r in ledger)
+
+
+def test_an_earlier_run_time_is_refused(spark, tmp_path):
+    root, house = tmp_path / "data", str(tmp_path / "house")
+    warehouse, bank = Warehouse(spark, house), Bank()
+    write_statement(inbox(root) / "a.csv", FIRST[:1])
+    ingest(spark, warehouse, str(root), RUN2, "r2", LATER)
+    build(spark, warehouse, bank, RUN2, "r2")
+    write_statement(inbox(root) / "b.csv", FIRST[1:2])
+    ingest(spark, warehouse, str(root), RUN1, "r1", LATER)
+    with pytest.raises(ValueError, match="lies before"):
+        build(spark, warehouse, bank, RUN1, "r1")
+    build(spark, warehouse, bank, RUN3, "r3")
+    assert warehouse.core("t_bank").read().count() == 2
+
+
+def test_rows_of_a_failed_build_are_not_lost(spark, tmp_path):
+    root, house = tmp_path / "data", str(tmp_path / "house")
+    warehouse, bank = Warehouse(spark, house), Bank()
+    write_statement(inbox(root) / "a.csv", FIRST[:2])
+    write_statement(inbox(root) / "bad.csv", [statement_row("15.09.2025 09:00:00", "0x1p3")])
+    ingest(spark, warehouse, str(root), RUN1, "r1", LATER)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        build(spark, warehouse, bank, RUN1, "r1")
+    write_statement(inbox(root) / "c.csv", FIRST[2:3])
+    ingest(spark, warehouse, str(root), RUN2, "r2", LATER)
+    assert warehouse.raw("t_bank_transactions").read().count() == 4
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        build(spark, warehouse, bank, RUN2, "r2")
+    build(spark, warehouse, bank, RUN2, "r2", set_aside=True)
+    assert warehouse.core("t_bank").read().count() == 3
+    aside = warehouse.set_aside("t_bank").read().collect()
+    assert len(aside) == 1 and aside[0].problems.startswith("Сумма операции,")
+
+
 def test_build_needs_raw(spark, tmp_path):
     with pytest.raises(LookupError, match="t_bank_transactions"):
         build(spark, Warehouse(spark, str(tmp_path / "none")), Bank(), RUN1, "r1")
@@ -151,7 +207,7 @@ def test_build_needs_raw(spark, tmp_path):
 
 def test_full_refresh_rebuilds_and_warnings_do_not_stop(spark, tmp_path):
     root, house = tmp_path / "data", str(tmp_path / "house")
-    dollars = statement_row("20.09.2025 15:45:59", "-5,00")
+    dollars = statement_row("14.09.2025 13:02:41", "-5,00")
     dollars[5] = "USD"
     write_statement(inbox(root) / "a.csv", [*FIRST, dollars])
     warehouse = Warehouse(spark, house)
