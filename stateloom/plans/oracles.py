@@ -115,6 +115,8 @@ _VIEW_TEXTS = {
     "transaction_dt": "cast(transaction_dt as varchar)",
 }
 
+_ORDER = "cast(split_part(description, ' ', 2) as bigint)"
+
 _MIDDLE = """
 middle as (
   select cast(min(ts)::date + cast(date_diff('day', min(ts)::date, max(ts)::date) // 2 as integer) as timestamp) as mid
@@ -163,7 +165,7 @@ _KINDS = "('page_view', 'click', 'purchase', 'signup')"
 _NULLABLE = [
     "__load_key", "card_last4", "cashback_amt", "category_nm", "description", "mcc_cd", "merchant_amt",
     "merchant_currency_cd", "posted_on", "rounded_transaction_amt", "savings_jar_amt", "status_nm",
-    "total_rewards_amt", "transacted_at_utc", "transaction_amt", "transaction_currency_cd",
+    "total_rewards_amt", "transacted_at_utc", "transaction_amt", "transaction_currency_cd", "__ingested_at",
 ]
 
 ORACLES: dict[str, str] = {
@@ -269,6 +271,23 @@ with target as (select o_orderkey, o_custkey, o_totalprice, o_orderdate from ord
 batch as (select o_orderkey, o_custkey, o_totalprice + 1 as o_totalprice, o_orderdate from orders
   where o_orderdate >= timestamp '1998-05-01 00:00:00')
 select * from target where o_orderkey not in (select o_orderkey from batch) union all select * from batch""",
+    "staging_incremental": f"""with {STAGED}
+select * from staged where __load_key not in (select __load_key from staged where {_ORDER} % 2 = 0)""",
+    "core_incremental": f"""with {CORE},
+stored as (select * replace ({_RUN} - interval 3 days as __ingested_at) from core where {_ORDER} % 3 <> 0),
+batch as (select * replace ('changed' as category_nm) from core where {_ORDER} % 2 = 0)
+select * from stored where transaction_bk not in (select transaction_bk from batch) union all select * from batch""",
+    "mart_incremental": f"""with {MART},
+batch as (select * replace ('changed' as category_nm) from mart where {_ORDER} % 4 = 2)
+select * replace ({_RUN} - interval 3 days as __ingested_at) from mart
+where transaction_bk not in (select transaction_bk from batch) union all select * from batch""",
+    "display_rows": f"""with {VIEW}
+select coalesce(cast(transaction_dt as varchar), 'None') as "Date", bank_nm as "Bank Name", coalesce(category_nm, 'None') as "Category",
+  coalesce(description, 'None') as "Description", coalesce(cast(transaction_amt as varchar), 'None') as "Amount, Currency",
+  coalesce(transaction_currency_cd, 'None') as "Currency" from bank_view""",
+    "snapshot_fold": """
+select count(*) as parts, md5(concat_ws('|', count(*), coalesce(sum(cast('0x' || substr(md5(html), 1, 15) as bigint)), 0),
+  coalesce(sum(cast('0x' || substr(md5(html), 17, 15) as bigint)), 0))) as md5 from pages""",
     "backfill_range": """
 select event_id, ts, user_id, event_type, value from events
 where cast(ts as date) between date '2024-01-10' and date '2024-01-12'""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stateloom.functions import (
@@ -12,22 +12,25 @@ from stateloom.functions import (
     normalize_identifier,
 )
 from stateloom.functions.text import check_decimal
-from stateloom.operators.fingerprint import row_checksum
+from stateloom.operators.fingerprint import fold_md5, row_checksum
 from stateloom.operators.incremental import (
     after_bookmark, backfill_range, delete_insert, distinct_per_file, newest_bookmark, since_lookback,
 )
 from stateloom.operators.keys import already_seen, keyed_update, referential_integrity, unseen
-from stateloom.operators.layout import display_tolerant, events_export, renamed, stringified
-from stateloom.operators.mapping import align, run_stamp
+from stateloom.operators.layout import display, display_tolerant, events_export, renamed, stringified
+from stateloom.operators.mapping import INGESTED_AT, align, run_stamp
 from stateloom.operators.retention import pending_archive, retention_plan
+from stateloom.plans import models
+from stateloom.plans.bank import Bank
 from stateloom.plans.feed import (
-    RUN_TS, core_feed, feed, mart_feed, staged_feed, table, view_feed,
+    RUN_TS, core_feed, feed, mart_feed, raw_feed, staged_feed, table, view_feed,
 )
 from stateloom.quality.checks import (
     between, column_exists, duplicate_keys, in_set, not_null, null_counts, rejected_values, row_rule, run_checks, unique,
 )
 from stateloom.quality.profile import completeness, export_counts, metrics, uniqueness, value_ranges
 from stateloom.quality.quarantine import with_problems
+from stateloom.sources.files import classify, ingest_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -219,11 +222,8 @@ def ledger_semi_join(spark, sf):
 
 
 def ledger_summary(spark, sf):
-    known = page_ledger(spark, sf).distinct().withColumn("known", F.lit(True))
-    classified = page_files(spark, sf).join(known, ["src_path", "md5"], "left")
-    return classified.agg(
-        F.count_if(F.col("known").isNull()).alias("ingested"), F.count_if(F.col("known")).alias("skipped")
-    )
+    found = page_files(spark, sf).withColumn("modificationTime", F.lit("2020-01-01").cast("timestamp"))
+    return ingest_summary(classify(found, page_ledger(spark, sf)))
 
 
 def distinct_per_file_query(spark, sf):
@@ -239,6 +239,51 @@ def delete_insert_upsert(spark, sf):
     return delete_insert(target, batch, "o_orderkey")
 
 
+EARLIER = "INTERVAL 3 DAYS"
+
+
+def order_number() -> Column:
+    """Of a feed row, from its description."""
+    return F.substring_index("description", " ", -1).cast("bigint")
+
+
+def staging_incremental(spark, sf):
+    """Every second order is staged already; the build's anti join lets the others through."""
+    stored = staged_feed(spark, sf).filter(order_number() % 2 == 0)
+    return models.staging(raw_feed(spark, sf), Bank(), RUN_TS, stored)
+
+
+def core_incremental(spark, sf):
+    """A third of the orders is missing from core; every second one comes anew, in another category."""
+    staged, stamp = staged_feed(spark, sf), run_stamp(RUN_TS)
+    stored = models.core(staged.filter(order_number() % 3 != 0), Bank(), RUN_TS).withColumn(INGESTED_AT, stamp - F.expr(EARLIER))
+    anew = order_number() % 2 == 0
+    upstream = staged.withColumns({
+        "category_nm": F.when(anew, F.lit("changed")).otherwise(F.col("category_nm")),
+        INGESTED_AT: F.when(anew, stamp).otherwise(stamp - F.expr("INTERVAL 5 DAYS")),
+    })
+    return delete_insert(stored, models.core(since_lookback(upstream, stored), Bank(), RUN_TS), "transaction_bk")
+
+
+def mart_incremental(spark, sf):
+    """Every second order comes anew, half of these as failed: the mart keeps the old rows of those."""
+    cored, stamp = core_feed(spark, sf), run_stamp(RUN_TS)
+    stored = models.mart(cored, Bank(), RUN_TS).withColumn(INGESTED_AT, stamp - F.expr(EARLIER))
+    upstream = cored.filter(order_number() % 2 == 0).withColumns({
+        "status_nm": F.when(order_number() % 4 == 0, F.lit("FAILED")).otherwise(F.col("status_nm")), "category_nm": F.lit("changed"),
+    })
+    return delete_insert(stored, models.mart(since_lookback(upstream, stored), Bank(), RUN_TS), "transaction_bk")
+
+
+def display_rows(spark, sf):
+    return display(view_feed(spark, sf))
+
+
+def snapshot_fold(spark, sf):
+    pages = table(spark, sf, "pages").select(F.md5("html").alias("md5"))
+    return pages.agg(F.count(F.lit(1)).alias("parts"), fold_md5(F.col("md5")).alias("md5"))
+
+
 def backfill_range_query(spark, sf):
     events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
     return backfill_range(events, "ts", "2024-01-10", "2024-01-12")
@@ -314,7 +359,7 @@ def export_contract_counts(spark, sf):
 
 
 def dq_not_null(spark, sf):
-    return null_counts(staged_feed(spark, sf).drop("__ingested_at"))
+    return null_counts(staged_feed(spark, sf))
 
 
 def dq_unique(spark, sf):
@@ -404,6 +449,11 @@ QUERIES: dict[str, Query] = {
     "union_reward_rows": view_feed,
     "distinct_per_file": distinct_per_file_query,
     "delete_insert_upsert": delete_insert_upsert,
+    "staging_incremental": staging_incremental,
+    "core_incremental": core_incremental,
+    "mart_incremental": mart_incremental,
+    "display_rows": display_rows,
+    "snapshot_fold": snapshot_fold,
     "backfill_range": backfill_range_query,
     "dq_completeness": dq_completeness,
     "dq_metrics": dq_metrics,

@@ -12,13 +12,15 @@ from stateloom.operators.layout import display
 from stateloom.plans.bank import Bank
 from stateloom.plans.build import build, combined
 from stateloom.plans.ingest import ingest
-from stateloom.plans.upkeep import archive_files, prune_snapshots
+from stateloom.plans.upkeep import archive_files, drop_expired, prune_snapshots
 from stateloom.plans.warehouse import Warehouse
 from stateloom.sinks.rows import Append, append_if_any
 from stateloom.sinks.snapshot import publish_snapshot
 
 # Fixed value: the name the published view goes by.
 VIEW_NAME = "prod_imart.view_bank_transactions"
+# so many newest versions of a table keep their directories: a reader of the last run's tables stays safe
+KEEP_VERSIONS = 3
 
 
 def run(
@@ -46,6 +48,9 @@ def run(
     moved = archive_files(spark, warehouse, root, run_ts, f"{run_id}-archive")
     archived = moved.filter(F.col("outcome") == "archived").count()
     pruned = prune_snapshots(spark, exports)
+    stores = (warehouse.raw(bank.raw_table), warehouse.core(bank.source), warehouse.mart(bank.source), warehouse.ledger())
+    expired = sum(len(drop_expired(store, KEEP_VERSIONS)) for store in stores)
     return {
-        **counts, "warnings": warnings, "manifest": manifest, "appended": appended, "archived": archived, **pruned
+        **counts, "warnings": warnings, "manifest": manifest, "appended": appended, "archived": archived, "expired": expired,
+        **pruned,
     }

@@ -7,6 +7,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from stateloom.plans.oracles import ORACLES
+from stateloom.plans.register import QUERIES
 
 from .compare import connect, difference
 
@@ -20,13 +22,15 @@ def duck():
         yield con
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    assert difference(contract.queries()[name](spark, SMALL), duck, contract.oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, SMALL), duck, ORACLES[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -37,6 +41,6 @@ def test_entry(spark):
 def test_session_zone_does_not_matter(spark, duck, name):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        assert difference(contract.queries()[name](spark, SMALL), duck, contract.oracle_sql()[name]) is None
+        assert difference(QUERIES[name](spark, SMALL), duck, ORACLES[name]) is None
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
