@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 
 from stateloom.llm.shared import kept
 
-DEGREE = 16
-SAMPLE = 24  # neighbours, forward and reverse, that a node brings together in a round
+DEGREE = 24
+SAMPLE = 40  # neighbours, forward and reverse, that a node brings together in a round
 ROUNDS = 6
 STOP = 0.002  # share of edges that may still change
-TABLES = 4
-BUCKET = 256
+TABLES = 8
+BUCKET = 512
+BEAM = 160  # nodes that a query keeps, and how many of them it opens in a step
+WIDE = 40
 NEAR = "array<struct<d: double, n: long>>"
 NEAR_ARROW = pa.list_(pa.struct([("d", pa.float64()), ("n", pa.int64())]))
 
@@ -133,11 +135,11 @@ def around(graph: DataFrame, sample: int) -> DataFrame:
     return both.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample).drop("place")
 
 
-def introduced(graph: DataFrame, nodes: DataFrame, sample: int, degree: int) -> DataFrame:
+def introduced(graph: DataFrame, circle: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
     """(node, near): what members of one neighbourhood learn of each other, where it is nearer than what they have."""
     worst = F.when(F.size("near") >= degree, F.element_at("near", -1)["d"]).otherwise(float("inf"))
     known = nodes.join(graph.select("node", worst.alias("worst")), "node").select(F.col("node").alias("member"), "vec", "worst")
-    met = around(graph, sample).join(known, "member")
+    met = circle.join(known, "member")
     groups = met.groupBy("center").agg(F.collect_list(F.struct("member", "fresh", "worst", "vec")).alias("members"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,9 +163,14 @@ def build_graph(nodes: DataFrame, sided: DataFrame, degree: int = DEGREE, sample
     graph = kept(nearest_of(first_graph(sided, degree), degree).withColumn("old", F.array().cast("array<long>")), "graph")
     names = lambda near: F.transform(near, lambda e: e["n"])
     for _ in range(rounds):
-        lists = graph.select("node", "near").unionByName(introduced(graph, nodes, sample, degree))
-        before = graph.select("node", names("near").alias("old"))
-        graph = kept(nearest_of(lists, degree).join(before, "node", "left").withColumn("old", F.coalesce("old", F.array().cast("array<long>"))), "graph")
+        circle = kept(around(graph, sample), "circles")
+        lists = graph.select("node", "near").unionByName(introduced(graph, circle, nodes, degree))
+        # an edge is old once it has been in a sample; until then it stays fresh
+        before = circle.groupBy(F.col("center").alias("node")).agg(F.collect_list("member").alias("met"))
+        before = graph.select("node", "old").join(before, "node", "left").select("node", F.array_union("old", F.coalesce("met", "old")).alias("old"))
+        new = nearest_of(lists, degree).join(before, "node", "left")
+        met = F.array_intersect(names("near"), F.coalesce("old", F.array().cast("array<long>")))
+        graph = kept(new.select("node", "near", met.alias("old")), "graph")
         fresh = graph.agg(F.sum(F.size(F.array_except(names("near"), "old"))), F.sum(F.size("near"))).first()
         if not fresh[1] or fresh[0] <= stop * fresh[1]:
             break
@@ -180,7 +187,7 @@ def both_ways(graph: DataFrame, most: int) -> DataFrame:
 
 
 def search(
-    queries: DataFrame, entries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = 48, wide: int = 16, most_steps: int = 30
+    queries: DataFrame, entries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = BEAM, wide: int = WIDE, most_steps: int = 30
 ) -> DataFrame:
     """(query, near) with the `beam` nearest nodes found: greedy search from `entries` (query, node).
 
