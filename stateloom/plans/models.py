@@ -22,6 +22,9 @@ def staging(raw: DataFrame, bank: Bank, run_ts: dt.datetime, existing: DataFrame
     return mapped_projection(rows, bank.mapping, bank.source, run_ts)
 
 
+# Fixed values in the three models below: names and order of their columns are the tables' contract.
+
+
 def core(staged: DataFrame, bank: Bank, run_ts: dt.datetime) -> DataFrame:
     """Staged rows under their business key."""
     key = business_key(bank.source, "transacted_at_utc", "transaction_amt", "card_last4")
@@ -74,20 +77,3 @@ def combined_view(mart_rows: DataFrame, bank: Bank) -> DataFrame:
     )
     rows = F.when(F.col("total_rewards_amt") > 0, F.array(payment, reward)).otherwise(F.array(payment))
     return mart_rows.select(F.inline(rows))
-
-
-def combined_view_union(mart_rows: DataFrame, bank: Bank) -> DataFrame:
-    """The same rows as a union of two passes; for a mart whose strings cost more than its scan."""
-    label = F.lit(bank.label).alias("bank_nm")
-    payments = mart_rows.select(
-        label, "category_nm", "description", "transaction_amt", "transaction_currency_cd", "transaction_dt"
-    )
-    rewards = mart_rows.filter(F.col("total_rewards_amt") > 0).select(
-        label,
-        F.lit(REWARD_CATEGORY).alias("category_nm"),
-        F.lit(REWARD_DESCRIPTION).alias("description"),
-        F.col("total_rewards_amt").alias("transaction_amt"),
-        "transaction_currency_cd",
-        "transaction_dt",
-    )
-    return payments.unionByName(rewards)

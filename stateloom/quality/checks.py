@@ -117,7 +117,7 @@ def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
     """Keys that occur more than once, with their counts; NULL is not a key."""
     return (
         df.filter(F.col(quoted(column)).isNotNull())
-        .groupBy(column)
+        .groupBy(F.col(quoted(column)))
         .agg(F.count(F.lit(1)).alias("n_records"))
         .filter(F.col("n_records") > 1)
     )
@@ -136,6 +136,6 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     """One row per column: its name and how many rows have no value; one scan for all of them."""
     names = list(columns or df.columns)
     entries = F.array(
-        *[F.struct(F.lit(n).alias("column_name"), F.count_if(F.col(n).isNull()).alias("null_rows")) for n in names]
+        *[F.struct(F.lit(n).alias("column_name"), F.count_if(F.col(quoted(n)).isNull()).alias("null_rows")) for n in names]
     )
     return df.agg(entries.alias("entries")).select(F.inline("entries"))
