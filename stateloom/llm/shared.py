@@ -43,7 +43,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back: later steps survive lost executors."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

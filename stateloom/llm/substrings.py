@@ -1,7 +1,7 @@
 """Removal of repeated substrings by suffix arrays of shards.
 
 A byte goes if it is covered by a string of `length` bytes that also starts somewhere else. To spare the
-suffix arrays what cannot repeat, every window of that length is first named by its anchor, the 40-byte piece
+suffix arrays what cannot repeat, every window of that length is first named by its anchor, the 32-byte piece
 with the least hash inside it: equal windows have equal anchors. Neighbouring windows with one anchor form a
 context. Anchors seen once cannot repeat, contexts seen twice repeat as a whole, and only different contexts
 of one anchor need a closer look. These are dealt over shards by anchor (a frequent anchor over several), and each
@@ -24,13 +24,14 @@ from stateloom.llm.shared import kept
 from stateloom.llm.suffixes import common_prefixes, suffix_array
 
 LENGTH = 200
-ANCHOR = 40
+ANCHOR = 32
 SHARD_CONTEXTS = 1024  # contexts of one anchor in one shard
 SHARD_BYTES = 1 << 20
 SEGMENT_BYTES = 16 << 20  # longer texts are read in overlapping segments
 PLACE_BITS = U64(26)
 
-CONTEXTS = "doc long, text_hash long, anchor long, context long, start int, windows int"
+# place: the first window's start, and in the last 16 bits the number of windows
+CONTEXTS = "doc long, text_hash long, anchor long, context long, place long"
 SPANS = "doc long, text_hash long, spans array<struct<a: int, b: int>>"
 SPANS_ARROW = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
@@ -82,8 +83,8 @@ def contexts(texts: DataFrame, length: int, anchor: int) -> DataFrame:
                     at_rows = pa.array(row + lo)
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(at_rows), batch.column(1).take(at_rows), pa.array(piece.view(np.int64)), pa.array(context.view(np.int64)),
-                         pa.array((start + at).astype(np.int32)), pa.array(count.astype(np.int32))],
-                        names=["doc", "text_hash", "anchor", "context", "start", "windows"],
+                         pa.array(((start + at) << 16) | count)],
+                        names=["doc", "text_hash", "anchor", "context", "place"],
                     )
                     if len(data) <= step:
                         break
@@ -223,17 +224,18 @@ def remove_repeats(
     seen = kept(contexts(texts, length, anchor), "contexts")
     often = seen.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor")
     seen = kept(seen.join(often, "anchor"), "contexts-again")
-    place = F.struct(F.col("doc").isNull(), "doc", "text_hash", "start")
-    each = kept(seen.groupBy("anchor", "context").agg(F.count("*").alias("times"), F.min(place).alias("one")), "contexts-each")
+    where = F.struct(F.col("doc").isNull(), "doc", "text_hash", "place")
+    start, windows = F.shiftright("place", 16).cast("int").alias("start"), F.col("place").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("windows")
+    each = kept(seen.groupBy("anchor", "context").agg(F.count("*").alias("times"), F.min(where).alias("one")), "contexts-each")
     several = each.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1")
     # whole contexts that repeat
     whole = seen.join(each.filter("times > 1").select("anchor", "context"), ["anchor", "context"]).select(
-        "doc", "text_hash", F.struct(F.col("start").alias("a"), (F.col("start") + F.col("windows") - 1 + length).alias("b")).alias("span")
+        "doc", "text_hash", F.struct(start.alias("a"), (start + windows - 1 + length).alias("b")).alias("span")
     )
     # one place of each context whose anchor has others
     looked = each.join(several, "anchor").select("anchor", "context", "contexts", "one").join(seen, ["anchor", "context"])
-    looked = looked.filter(place == F.col("one")).select(
-        "doc", "text_hash", F.struct("anchor", "context", "contexts", "start", "windows").alias("look")
+    looked = looked.filter(where == F.col("one")).select(
+        "doc", "text_hash", F.struct("anchor", "context", "contexts", start, windows).alias("look")
     )
     nothing = "array<struct<a: int, b: int>>", "array<struct<anchor: long, context: long, contexts: long, start: int, windows: int>>"
     per_text = whole.select("doc", "text_hash", "span", F.lit(None).cast(looked.schema["look"].dataType).alias("look")).unionByName(

@@ -48,7 +48,7 @@ def test_long_texts_are_read_in_segments(spark, monkeypatch):
     rows = [(1, one), (2, "zz" + one[700:1900] + "yy"), (3, one[:1000][::-1])]
     want = brute(rows, 200)
     data = np.frombuffer(one.encode(), np.uint8)
-    whole = substrings.contexts_of(data, np.array([0, len(data)]), 200, 40)
+    whole = substrings.contexts_of(data, np.array([0, len(data)]), 200, 32)
     assert int(whole[4].sum()) == len(data) - 199
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == want
 
