@@ -180,8 +180,9 @@ def near_duplicates(documents: DataFrame, doc: str = "doc_id", text: str = "text
     rows = kept(profiles(documents, doc, text, options), "near-profiles")
     classes = rows.filter("class is not null").groupBy("class").agg(F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
     entries = kept(classes.select("class", "size", F.explode("bands").alias("bucket")), "near-bands")
+    # what is known of a key is written before it meets that key's rows: only then can a hot key's side be split
     crowded = entries.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y")
-    members = kept(entries.join(crowded.select("bucket"), "bucket"), "near-members")
+    members = kept(entries.join(kept(crowded.select("bucket"), "near-crowded"), "bucket"), "near-members")
     wanted = members.select("class").distinct()
     chosen = rows.join(wanted, "class").groupBy("class").agg(F.min(F.struct("doc", "text_hash")).alias("r")).select("class", "r.*")
     sources = documents.select(F.col(doc).cast("long").alias("doc"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
@@ -191,7 +192,7 @@ def near_duplicates(documents: DataFrame, doc: str = "doc_id", text: str = "text
     links = kept(verified(tested, texts, options), "near-links")
     placed = members.join(by_class(links), "class", "left").withColumn("root", F.coalesce("component", "class")).drop("component")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("bucket")
-    placed = placed.join(mixed, "bucket").select("class", "size", "root").distinct()
+    placed = placed.join(kept(mixed, "near-mixed"), "bucket").select("class", "size", "root").distinct()
     rest = fitting(pairs_by_prefix(kept(placed, "near-open"), texts, options), options).join(tested, ["a", "b"], "left_anti")
     roots = by_class(links.unionByName(kept(verified(kept(rest, "near-pairs"), texts, options), "near-links")))
     return rows.join(roots, "class", "left").select(
@@ -206,7 +207,7 @@ def by_class(links: DataFrame) -> DataFrame:
 def pairs_with_leaders(members: DataFrame) -> DataFrame:
     """Each member of a bucket with the bucket's leader: another one in every bucket, even where members recur."""
     leaders = members.groupBy("bucket").agg(F.min_by(F.struct("class", "size"), F.xxhash64("class", "bucket")).alias("l"))
-    joined = members.join(leaders, "bucket").filter(F.col("class") != F.col("l.class"))
+    joined = members.join(kept(leaders, "near-leaders"), "bucket").filter(F.col("class") != F.col("l.class"))
     return joined.select("class", "size", F.col("l.class").alias("other"), F.col("l.size").alias("other_size"))
 
 
@@ -227,7 +228,7 @@ def pairs_by_prefix(nodes: DataFrame, texts: DataFrame, options: Options) -> Dat
             )
 
     tokens = kept(texts.join(nodes, "class", "left_semi").mapInArrow(explode, "class binary, shingle long"), "near-tokens")
-    common = tokens.groupBy("shingle").agg(F.count("*").alias("n"))
+    common = kept(tokens.groupBy("shingle").agg(F.count("*").alias("n")), "near-counts")
     in_class = Window.partitionBy("class")
     ranked = tokens.join(common, "shingle").select(
         "class", "shingle", "n", F.row_number().over(in_class.orderBy("n", "shingle")).alias("place"), F.count_if(F.col("n") > 1).over(in_class).alias("known")
@@ -239,7 +240,7 @@ def pairs_by_prefix(nodes: DataFrame, texts: DataFrame, options: Options) -> Dat
     ), "near-postings")
     by_root = postings.groupBy("shingle", "root").count().groupBy("shingle")
     shared = by_root.agg(F.max_by("root", F.struct("count", "root")).alias("major"), F.count("*").alias("roots")).filter("roots > 1")
-    mixed = postings.join(shared.select("shingle", "major"), "shingle")
+    mixed = postings.join(kept(shared.select("shingle", "major"), "near-majors"), "shingle")
     seekers = mixed.filter("root <> major").drop("major")
     others = mixed.select("shingle", *[F.col(c).alias("other" if c == "class" else f"other_{c}") for c in ("class", "size", "known", "root", "rank")])
     # only shingles known from another set can be common: if this is the first that is, so many at most. A similar

@@ -222,12 +222,13 @@ def remove_repeats(
     """
     texts = documents.select(F.col(doc).cast("long").alias("doc"), F.xxhash64(text).alias("text_hash"), F.encode(text, "UTF-8").alias("bytes"))
     seen = kept(contexts(texts, length, anchor), "contexts")
-    often = seen.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor")
+    # counts by a key are written before they meet that key's rows: only then can a hot key's side be split
+    often = kept(seen.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor"), "anchors-again")
     seen = kept(seen.join(often, "anchor"), "contexts-again")
     where = F.struct(F.col("doc").isNull(), "doc", "text_hash", "place")
     start, windows = F.shiftright("place", 16).cast("int").alias("start"), F.col("place").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("windows")
     each = kept(seen.groupBy("anchor", "context").agg(F.count("*").alias("times"), F.min(where).alias("one")), "contexts-each")
-    several = each.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1")
+    several = kept(each.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "anchors-several")
     # whole contexts that repeat
     whole = seen.join(each.filter("times > 1").select("anchor", "context"), ["anchor", "context"]).select(
         "doc", "text_hash", F.struct(start.alias("a"), (start + windows - 1 + length).alias("b")).alias("span")
