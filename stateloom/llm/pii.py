@@ -125,6 +125,33 @@ def phone(key: str, text: Column) -> Column:
     return let(F.regexp_replace(text, "[^0-9]", ""), new)
 
 
+# How long the account numbers of a country are.
+IBAN_LENGTHS = (
+    " AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27"
+    " GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22"
+    " MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28"
+    " TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+)
+
+
+def valid_iban(bare: Column) -> Column:
+    return (F.length(bare) >= 12) & (mod97(F.concat(F.substring(bare, F.lit(5), F.length(bare)), F.substring(bare, 1, 4))) == 1)
+
+
+def iban_in(text: Column) -> Column:
+    """What of `text` is an account number: the valid beginning as long as its country's numbers, else the longest
+    valid one that ends with a word, else all of it."""
+
+    def chosen(parts: Column) -> Column:
+        beginnings = F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), " "))
+        bare = lambda b: F.replace(b, F.lit(" "))
+        usual = F.substring(F.split_part(F.lit(IBAN_LENGTHS), F.concat(F.lit(" "), F.substring(text, 1, 2)), F.lit(2)), 1, 2).try_cast("int")
+        valid = F.filter(beginnings, lambda b: valid_iban(bare(b)))
+        return let(valid, lambda v: F.coalesce(F.get(F.filter(v, lambda b: F.length(bare(b)) == usual), F.lit(0)), F.get(v, F.lit(0)), text))
+
+    return let(F.split(text, " "), chosen)
+
+
 def iban(key: str, text: Column) -> Column:
     """An account number that leaves 1 by 97; the country stays, the check digits follow from the rest."""
 
@@ -133,8 +160,7 @@ def iban(key: str, text: Column) -> Column:
         moved = let(permuted_text(key, "iban", account), lambda m: F.concat(
             country, F.lpad((98 - mod97(F.concat(m, country, F.lit("00")))).cast("string"), 2, "0"), m
         ))
-        valid = mod97(F.concat(account, country, F.substring(bare, 3, 2))) == 1
-        return F.when(valid, refilled(text, moved, "[0-9A-Z]")).otherwise(text)
+        return F.when(valid_iban(bare), refilled(text, moved, "[0-9A-Z]")).otherwise(text)
 
     return let(F.replace(text, F.lit(" ")), new)
 
@@ -202,35 +228,111 @@ def date(key: str, text: Column) -> Column:
     return F.when(F.size(F.filter(tried, lambda x: x["day"].isNotNull())) > 0, let(first, new)).otherwise(text)
 
 
+# Country codes by the least and the most digits that follow them, where these are few. Other
+# codes take from 8 to 15 digits in all.
+PHONE_DIGITS = {
+    (8, 8): "45 47 65 386 852", (9, 9): "27 31 33 34 40 41 48 56 61 351 380 420 421", (10, 10): "1 7 30 52 57 90 91",
+    (8, 9): "32 36 51 66 385 886 966 971 972", (9, 10): "44 81 84 92", (8, 10): "20 60 63 64 82", (10, 11): "54 55 86",
+}
+IP = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
+DATE = r"(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})"
+SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
+CARD = r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})"
+
+
+def digits_before(least: int) -> str:
+    """Written out, as a look-behind takes no repeated group."""
+    one, more = "[ .()-]{0,2}[0-9]", ""
+    for _ in range(15 - least):
+        more = f"(?:{one}{more})?"
+    return rf"(?<=\+{one * least}{more})"
+
+
+def phone_pattern() -> str:
+    """An international number that ends where the next value begins.
+
+    Where the country fixes how many digits follow, these are taken. Elsewhere groups follow up to 15 digits, but no group
+    that begins an address, a date, a social security or card number, nor, once 10 digits are there, a
+    year or a number of five digits and more (from 7 digits on after 8). If nothing is a number that way, the groups decide.
+    """
+    end = r"(?![0-9A-Za-z]|\.[0-9])"
+    value = rf" (?:{IP}{end}|{DATE}{end}|{SSN}(?![0-9A-Za-z-]))"
+    further = rf"{digits_before(10)} (?:(?:19|20)[0-9]{{2}}|[0-9]{{5,}})(?![0-9A-Za-z])|{digits_before(8)} [0-9]{{7,}}| {CARD}(?![0-9A-Za-z])"
+    between = r"(?:\)[ -]?|[ -]?\(|[ .-])"
+    planned = "|".join(
+        rf"(?:{codes.replace(' ', '|')})(?:[ -]?\(0\))?{between}?[0-9](?:(?:(?!{value}){between})?[0-9]){{{least - 1},{most - 1}}}(?![0-9A-Za-z])"
+        for (least, most), codes in PHONE_DIGITS.items()
+    )
+    start = r"[0-9]{1,3}[ -]?(?:\([0-9]{1,4}\)[ -]?)?[0-9]{2,4}"
+    bounded = rf"{start}(?:(?!{value}|{further})[ .-]?[0-9]{{2,4}}){{1,4}}(?![0-9A-Za-z]){digits_before(8)}"
+    grouped = rf"{start}(?:[ .-]?[0-9]{{2,4}}){{1,4}}(?![0-9A-Za-z]|[./-][0-9]){digits_before(8)}"
+    return rf"(?<![0-9A-Za-z+])\+(?:{planned}|{bounded}|{grouped})"
+
+
 # The kinds in the order in which they are tried, and what each looks like. A match begins
 # and ends at a word's edge, and every repetition is bounded, so that long runs cost no more than their length.
 KINDS: dict[str, tuple[str, Callable[[str, Column], Column]]] = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}", email),
-    "phone": (r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ -]?(?:\([0-9]{1,4}\)[ -]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])", phone),
-    "ip": (r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])", ip_address),
-    "date": (
-        r"(?<![0-9A-Za-z./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?![0-9A-Za-z]|[./-][0-9])",
-        date,
-    ),
-    "ssn": (r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", social_security),
-    "card": (r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])", card),
+    "phone": (phone_pattern(), phone),
+    "ip": (rf"(?<![0-9A-Za-z.]){IP}(?![0-9A-Za-z]|\.[0-9])", ip_address),
+    "date": (rf"(?<![0-9A-Za-z./-]){DATE}(?![0-9A-Za-z]|[./-][0-9])", date),
+    "ssn": (rf"(?<![0-9A-Za-z-]){SSN}(?![0-9A-Za-z-])", social_security),
+    "card": (rf"(?<![0-9A-Za-z]){CARD}(?![0-9A-Za-z])", card),
     "iban": (r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])", iban),
 }
 ANY = "|".join(pattern for pattern, _ in KINDS.values())
+# a phone's end depends on what follows it in the text, so a found one is told by its beginning
+SHAPES = {name: r"^\+[^@]*$" if name == "phone" else f"^(?:{pattern})$" for name, (pattern, _) in KINDS.items()}
+BLOCK = 256
 
 
 def pseudonym(key: str, found: Column) -> Column:
-    out = found
-    for pattern, kind in reversed(KINDS.values()):
-        out = F.when(found.rlike(f"^(?:{pattern})$"), kind(key, found)).otherwise(out)
-    return out
+    """What of a found text is a value (`value`), and its pseudonym (`new`); both equal where it does not validate."""
+
+    def new(value: Column) -> Column:
+        out = value
+        for name, (_, kind) in reversed(KINDS.items()):
+            out = F.when(value.rlike(SHAPES[name]), kind(key, value)).otherwise(out)
+        return F.struct(value.alias("value"), out.alias("new"))
+
+    return let(F.when(found.rlike(SHAPES["iban"]), iban_in(found)).otherwise(found), new)
+
+
+def replaced(key: str, text: Column) -> Column:
+    """`text` with every validated value replaced, and how many were. For texts that match ANY.
+
+    Every place where a value may begin is tried, from left to right; the search goes on behind a
+    replaced value, and behind the first sign of one that does not validate. Blocks keep the joining linear.
+    """
+    led = F.concat(F.lit("\n"), text)  # so that the first piece is what stands before the first place
+    pieces, found = F.split(led, f"(?={ANY})", -1), F.regexp_extract_all(led, F.lit(f"(?=({ANY}))"), F.lit(1))
+    tried = F.transform(found, lambda m: pseudonym(key, m))
+
+    def step(state: Column, at: Column) -> Column:
+        piece, size = at["piece"], F.length(at["piece"])
+        hit = (state["over"] == 0) & (at["tried"]["new"] != at["tried"]["value"])
+        over = F.when(hit, F.length(at["tried"]["value"])).otherwise(state["over"])
+        return F.struct(
+            F.concat(state["out"], F.when(hit, at["tried"]["new"]).otherwise(""), F.substring(piece, over + 1, size)).alias("out"),
+            F.greatest(over - size, F.lit(0)).alias("over"), (state["n"] + hit.cast("int")).alias("n"),
+        )
+
+    def block(state: Column, steps: Column) -> Column:
+        inner = F.aggregate(steps, F.struct(F.lit("").alias("out"), state["over"].alias("over"), state["n"].alias("n")), step)
+        return let(inner, lambda i: F.struct(F.concat(state["out"], i["out"]).alias("out"), i["over"].alias("over"), i["n"].alias("n")))
+
+    def walked(p: Column) -> Column:
+        steps = F.zip_with(F.slice(p, F.lit(2), F.size(p)), tried, lambda piece, t: F.struct(piece.alias("piece"), t.alias("tried")))
+        start = F.struct(F.element_at(p, 1).alias("out"), F.lit(0).alias("over"), F.lit(0).alias("n"))
+        blocks = let(steps, lambda s: F.transform(F.sequence(F.lit(1), F.size(s), F.lit(BLOCK)), lambda k: F.slice(s, k, F.lit(BLOCK))))
+        return F.aggregate(blocks, start, block)
+
+    return let(let(pieces, walked), lambda w: F.struct(F.substring(w["out"], F.lit(2), F.length(w["out"])).alias("text"), w["n"].alias("n")))
 
 
 def pseudonymised(key: str, text: Column) -> Column:
     """`text` with every validated value replaced; null stays null, a text without any stays as it is."""
-    pieces, found = F.split(text, ANY, -1), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    joined = F.array_join(F.zip_with(pieces, found, lambda p, m: F.concat(p, F.coalesce(pseudonym(key, m), F.lit("")))), "")
-    return F.when(text.rlike(ANY), joined).otherwise(text)
+    return F.when(text.rlike(ANY), replaced(key, text)["text"]).otherwise(text)
 
 
 def hide_personal_data(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -240,6 +342,4 @@ def hide_personal_data(documents: DataFrame, key: str, text: str = "text") -> Da
 
 def count_replaced(key: str, text: Column) -> Column:
     """How many values of a text have a pseudonym that differs from them; 0 for null."""
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    changed = F.size(F.filter(found, lambda m: pseudonym(key, m) != m))
-    return F.when(text.rlike(ANY), changed).otherwise(0).cast("long")
+    return F.when(text.rlike(ANY), replaced(key, text)["n"]).otherwise(0).cast("long")

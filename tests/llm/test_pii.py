@@ -104,3 +104,31 @@ def test_awkward_rows_and_plan(spark, awkward):
     assert [r.n for r in count.collect()] == [2, 0]
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_neighbours_of_all_kinds_are_told_apart(spark):
+    values = [
+        "bosbt.42@mail8.example.com", "+1 (826) 555-4081", "+1 988 555 7713", "+44 20 7946 0958", "+49 30 901820", "+33 1 42 68 53 00", "+358401234567",
+        "190.137.223.204", "1984-02-29", "31.12.2001", "12/31/2001", "123-45-6789", "4041894974608795", "4041 8949 7460 8795",
+        "ES9121000418450200051332", "DE89 3704 0044 0532 0130 00", "NO9386011117947", "2023", "10115", "12345678", "EUR 50", "BIC", "x",
+    ]
+    alone = dict(zip(values, hidden(spark, *values), strict=True))
+    plain = values[-6:]
+    assert all((alone[v] == v) == (v in plain) for v in values)
+    pairs = [(a, b) for a in values for b in values]
+    got = hidden(spark, *[f"{a} {b}" for a, b in pairs])
+    assert [(a, b, g) for (a, b), g in zip(pairs, got, strict=True) if g != f"{alone[a]} {alone[b]}"] == []
+
+
+def test_the_search_goes_on_inside_what_does_not_validate(spark):
+    card, alone = "4041 8949 7460 8795", hidden(spark, "4041 8949 7460 8795")[0]
+    many = " ".join(["1234", card] * 700)
+    assert hidden(spark, f"1234 {card} 1", many) == [f"1234 {alone} 1", " ".join(["1234", alone] * 700)]
+    count = spark.createDataFrame([(many,)], "t string").select(pii.count_replaced(KEY, F.col("t")).alias("n"))
+    assert count.first().n == 700
+
+
+def test_no_part_of_a_number_stays(spark):
+    numbers = ["+44 (0)20 7946 0958", "+33 14 1.42.68.53.00", "+49 30 12.12.2012", "+47 22.33.44.55", "+12 345 6789 01", "+4915112345678"]
+    for number, new in zip(numbers, hidden(spark, *[f"call {n}, ok" for n in numbers]), strict=True):
+        assert new != f"call {number}, ok" and len(new) == len(f"call {number}, ok") and new.startswith("call +")
