@@ -166,16 +166,19 @@ def iban(key: str, text: Column) -> Column:
 
 
 def social_security(key: str, text: Column) -> Column:
-    """Area 001 to 665, group and serial not zero: permuted among all of these."""
+    """Area 001 to 665 or 667 to 899, group and serial not zero: permuted among all of these of the same run of areas."""
 
     def new(p: Column) -> Column:
         area, group, serial = (F.element_at(p, k).cast("bigint") for k in (1, 2, 3))
-        pair = permuted(key, "ssn", area - 1, (group - 1) * 9999 + serial - 1, F.lit(665), F.lit(99 * 9999))
-        made = let(pair, lambda q: F.concat_ws(
-            "-", F.lpad((q["a"] + 1).cast("string"), 3, "0"), F.lpad((F.floor(q["b"] / 9999) + 1).cast("string"), 2, "0"),
+        rest = (group - 1) * 9999 + serial - 1
+        shown = lambda first, pair: let(pair, lambda q: F.concat_ws(
+            "-", F.lpad((q["a"] + first).cast("string"), 3, "0"), F.lpad((F.floor(q["b"] / 9999) + 1).cast("string"), 2, "0"),
             F.lpad((q["b"] % 9999 + 1).cast("string"), 4, "0"),
         ))
-        return F.when(area.between(1, 665) & (group > 0) & (serial > 0), made).otherwise(text)
+        low = shown(1, permuted(key, "ssn", area - 1, rest, F.lit(665), F.lit(99 * 9999)))
+        high = shown(667, permuted(key, "ssn 667", area - 667, rest, F.lit(233), F.lit(99 * 9999)))
+        stays = (group == 0) | (serial == 0)
+        return F.when(stays, text).when(area.between(1, 665), low).when(area.between(667, 899), high).otherwise(text)
 
     return let(F.split(text, "-"), new)
 

@@ -132,3 +132,12 @@ def test_no_part_of_a_number_stays(spark):
     numbers = ["+44 (0)20 7946 0958", "+33 14 1.42.68.53.00", "+49 30 12.12.2012", "+47 22.33.44.55", "+12 345 6789 01", "+4915112345678"]
     for number, new in zip(numbers, hidden(spark, *[f"call {n}, ok" for n in numbers]), strict=True):
         assert new != f"call {number}, ok" and len(new) == len(f"call {number}, ok") and new.startswith("call +")
+
+
+def test_social_security_areas_above_666(spark):
+    areas = [1, 665, 667, 728, 772, 899]
+    got = hidden(spark, *[f"{a:03d}-45-6789" for a in areas], "666-45-6789", "900-45-6789", "728-00-6789", "728-45-0000")
+    assert got[6:] == ["666-45-6789", "900-45-6789", "728-00-6789", "728-45-0000"]
+    for area, new in zip(areas, got, strict=False):
+        a, b = numbers("ssn", area - 1, 44 * 9999 + 6788, 665, 99 * 9999) if area < 666 else numbers("ssn 667", area - 667, 44 * 9999 + 6788, 233, 99 * 9999)
+        assert new == f"{a + (1 if area < 666 else 667):03d}-{b // 9999 + 1:02d}-{b % 9999 + 1:04d}" and new != f"{area:03d}-45-6789"
