@@ -87,12 +87,13 @@ def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(places, pa.list_(pa.int32()))], names=["host", "shape_key", "places"])
 
 
-def content_nodes(wrapper: Node, stats: dict[int, tuple[int, bool, int]]) -> list[int]:
-    """Numbers of the wrapper's content slots. `stats`: pages, whether the text varies, characters, by node.
+def content_nodes(wrapper: Node, stats: dict[int, tuple[int, bool, int]]) -> tuple[list[int], list[int]]:
+    """Numbers of the wrapper's content slots, for trees with text in an article or main element and for the others.
+    `stats`: pages, whether the text varies, characters, by node.
 
-    With article or main elements: all nodes inside them, less what is set aside. Without: inside the
-    deepest node that holds others and most of the varying text, the nodes that vary. If nothing varies (one page, or copies of
-    one page), everything counts as varying.
+    The first: all nodes inside these elements, less what is set aside. The others: inside the
+    deepest node that holds others and most of the varying text,
+    the nodes that vary. If nothing varies (one page, or copies of one page), everything counts as varying.
     """
     nodes = [n for _, n in preorder(wrapper)]
     number = {id(n): k for k, n in enumerate(nodes)}
@@ -105,22 +106,22 @@ def content_nodes(wrapper: Node, stats: dict[int, tuple[int, bool, int]]) -> lis
     mains = [n for n in nodes if n.label.split(".", 1)[0] in MAIN_TAGS and not is_aside(n.label)]
     allowed = set(inside(wrapper))
     named = sorted({k for n in mains if number[id(n)] in allowed for k in inside(n)})
-    if any(k in stats and stats[k][2] for k in named):
-        return named
-    slots = {k for k in allowed if k in stats and (stats[k][1] or stats[k][0] < CONSTANT_PAGES)}
-    slots = slots or {k for k in allowed if k in stats}
+    others = allowed - set(named)
+    slots = {k for k in others if k in stats and (stats[k][1] or stats[k][0] < CONSTANT_PAGES)}
+    slots = slots or {k for k in others if k in stats}
     mass = {id(n): sum(stats[k][2] for k in inside(n) if k in slots) for n in nodes}
     best = wrapper
     while True:
         deeper = [c for c in best.children if c.children and not is_aside(c.label) and mass[id(c)] > SHARE * mass[id(wrapper)]]
         if not deeper:
-            return sorted(k for k in inside(best) if k in slots)
+            return named, sorted(k for k in inside(best) if k in slots)
         best = deeper[0]
 
 
 def chosen_nodes(group: pd.DataFrame) -> pd.DataFrame:
     stats = {int(r.place): (int(r.n), r.low != r.high, int(r.size)) for r in group.itertuples() if r.place >= 0}
-    return pd.DataFrame({"host": [group["host"].iloc[0]], "content": [content_nodes(parsed(group["wrapper"].iloc[0]), stats)]})
+    named, varying = content_nodes(parsed(group["wrapper"].iloc[0]), stats)
+    return pd.DataFrame({"host": [group["host"].iloc[0]], "named": [named], "varying": [varying]})
 
 
 def induce(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -137,8 +138,12 @@ def induce(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     places = kept(places.mapInArrow(aligned, "host string, shape_key long, places array<int>"), "page-places")
     by_place = stats.join(places, ["host", "shape_key"]).withColumn("place", F.element_at("places", F.col("node") + 1)).groupBy("host", "place")
     by_place = by_place.agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("size").alias("size"))
-    content = by_place.join(wrappers, "host").groupBy("host").applyInPandas(chosen_nodes, "host string, content array<int>")
-    numbers = F.transform("places", lambda p, i: F.when(F.array_contains("content", p), i))
+    content = by_place.join(wrappers, "host").groupBy("host").applyInPandas(chosen_nodes, "host string, named array<int>, varying array<int>")
+    # each tree decides for itself: the text of a tree without text in an article is what varies
+    texts = stats.filter("size > 0").groupBy("host", "shape_key").agg(F.collect_set("node").alias("with_text"))
+    full = F.exists("with_text", lambda n: F.array_contains("named", F.get("places", n)))
+    numbers = F.transform("places", lambda p, i: F.when(F.array_contains(F.when(full, F.col("named")).otherwise(F.col("varying")), p), i))
+    places = places.join(texts, ["host", "shape_key"], "left")
     return places.join(content, "host").select("host", "shape_key", F.filter(numbers, lambda i: i.isNotNull()).alias("slots"))
 
 

@@ -52,3 +52,11 @@ def test_copies_of_one_page_lose_nothing(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], PAGES)
     assert extract(frame, induce(frame)).count() == 0
+
+
+def test_pages_without_article_on_a_host_with_articles(spark):
+    article = "<body><div class='head'>Site</div><article><h1>Title {n}</h1><p>Part {n}.</article></body>"
+    plain = "<body><div class='head'>Site</div><div class='text'><p>Plain text {n}.</p></div></body>"
+    for url in ("https://x.org/", None):
+        found = texts(spark, [(n, url, (article if n % 2 else plain).replace("{n}", str(n))) for n in range(8)])
+        assert found[1][0] == "Title 1\nPart 1." and found[2][0] == "Plain text 2."
