@@ -24,7 +24,6 @@ from stateloom.llm.url_filter import url_host
 SALTS = 16
 MAIN_TAGS = ("article", "main")
 CONSTANT_PAGES = 3  # so many pages of a host must agree before an equal text is template
-SHARE = 0.5  # without an article element, content is the deepest node that holds others and has this share of the varying text
 
 
 def shape_and_blocks(page: str) -> tuple[str, list[int], list[str]]:
@@ -91,9 +90,8 @@ def content_nodes(wrapper: Node, stats: dict[int, tuple[int, bool, int]]) -> tup
     """Numbers of the wrapper's content slots, for trees with text in an article or main element and for the others.
     `stats`: pages, whether the text varies, characters, by node.
 
-    The first: all nodes inside these elements, less what is set aside. The others: inside the
-    deepest node that holds others and most of the varying text,
-    the nodes that vary. If nothing varies (one page, or copies of one page), everything counts as varying.
+    The first: all nodes inside these elements, less what is set aside. The others: all
+    nodes that vary. If nothing varies (one page, or copies of one page), everything counts as varying.
     """
     nodes = [n for _, n in preorder(wrapper)]
     number = {id(n): k for k, n in enumerate(nodes)}
@@ -109,13 +107,7 @@ def content_nodes(wrapper: Node, stats: dict[int, tuple[int, bool, int]]) -> tup
     others = allowed - set(named)
     slots = {k for k in others if k in stats and (stats[k][1] or stats[k][0] < CONSTANT_PAGES)}
     slots = slots or {k for k in others if k in stats}
-    mass = {id(n): sum(stats[k][2] for k in inside(n) if k in slots) for n in nodes}
-    best = wrapper
-    while True:
-        deeper = [c for c in best.children if c.children and not is_aside(c.label) and mass[id(c)] > SHARE * mass[id(wrapper)]]
-        if not deeper:
-            return named, sorted(k for k in inside(best) if k in slots)
-        best = deeper[0]
+    return named, sorted(slots)
 
 
 def chosen_nodes(group: pd.DataFrame) -> pd.DataFrame:

@@ -60,3 +60,9 @@ def test_pages_without_article_on_a_host_with_articles(spark):
     for url in ("https://x.org/", None):
         found = texts(spark, [(n, url, (article if n % 2 else plain).replace("{n}", str(n))) for n in range(8)])
         assert found[1][0] == "Title 1\nPart 1." and found[2][0] == "Plain text 2."
+
+
+def test_both_parts_of_a_text_in_two_siblings(spark):
+    page = "<div class='intro'><p>A long beginning of number {n} with most words</p></div><div class='more'><p>And its end {n}</p></div><div class='legal'><p>Legal</p></div>"
+    found = texts(spark, [(n, "https://x.org/", page.replace("{n}", str(n))) for n in range(5)])
+    assert found[2][0] == "A long beginning of number 2 with most words\nAnd its end 2"
