@@ -17,6 +17,9 @@ ASIDE_WORDS = set(
     " disqus share sharing social related popup modal login search widget toolbar pagination pager form"
     " complementary contentinfo dialog".split()
 )
+# words that may stand beside one of these in a class: site-footer, nav-menu, comments-area; not no-sidebar
+BESIDE_ASIDE = set("site page main top bottom left right primary secondary global mobile area bar block box container wrapper wrap inner section list links slot unit item items group".split())
+NEVER_ASIDE = set("page html body main article".split())
 CLOSED_BY = {"p": set("p".split()), "li": set("li".split()), "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 MAX_DEPTH = 100  # deeper elements count as children of the element at this depth
@@ -40,14 +43,20 @@ class Node:
 def is_aside(label: str) -> bool:
     """Whether a label (tag.word.word) is that of a menu, advert, form or the like."""
     tag, *words = label.split(".")
-    return tag in ASIDE_TAGS or any(w in ASIDE_WORDS for w in words)
+    return tag in ASIDE_TAGS or (tag not in NEVER_ASIDE and any(names_aside(w) for w in words))
+
+
+def names_aside(word: str) -> bool:
+    """Whether a whole class word says so: one of its parts, and no part that says otherwise."""
+    parts = word.split("-")
+    return any(p in ASIDE_WORDS for p in parts) and all(p in ASIDE_WORDS or p in BESIDE_ASIDE for p in parts)
 
 
 def label_of(tag: str, attrs: str) -> str:
     words: list[str] = []
     if attrs:
         for _, a, b, c in ATTRIBUTE.findall(attrs):
-            words += re.findall(r"[a-z]+", (a or b or c).lower())
+            words += ["-".join(parts) for w in (a or b or c).lower().split() if (parts := re.findall(r"[a-z]+", w))]
     return ".".join([tag, *dict.fromkeys(words)])
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stateloom.llm.dom import Node, folded, is_aside, matching, merge, parsed, preorder, read, written
+from stateloom.llm.dom import ASIDE_TAGS, Node, folded, is_aside, matching, merge, parsed, preorder, read, written
 from stateloom.llm.shared import kept
 from stateloom.llm.url_filter import url_host
 
@@ -96,12 +96,20 @@ def content_nodes(wrapper: Node, stats: dict[int, tuple[int, bool, int]]) -> tup
     nodes = [n for _, n in preorder(wrapper)]
     number = {id(n): k for k, n in enumerate(nodes)}
 
-    def inside(node: Node) -> list[int]:
-        if is_aside(node.label):
+    tag = lambda n: n.label.split(".", 1)[0]
+    holds_main: set[int] = set()
+    for n in reversed(nodes):
+        if tag(n) in MAIN_TAGS or any(id(c) in holds_main for c in n.children):
+            holds_main.add(id(n))
+
+    def inside(node: Node, in_article: bool = False) -> list[int]:
+        # by class words, nothing that holds an article is set aside, except within another article (comments)
+        if is_aside(node.label) and (in_article or tag(node) in ASIDE_TAGS or id(node) not in holds_main):
             return []
-        return [number[id(node)]] + [k for c in node.children for k in inside(c)]
+        within = in_article or tag(node) == "article"
+        return [number[id(node)]] + [k for c in node.children for k in inside(c, within)]
 
-    mains = [n for n in nodes if n.label.split(".", 1)[0] in MAIN_TAGS and not is_aside(n.label)]
+    mains = [n for n in nodes if tag(n) in MAIN_TAGS]
     allowed = set(inside(wrapper))
     named = sorted({k for n in mains if number[id(n)] in allowed for k in inside(n)})
     others = allowed - set(named)

@@ -66,3 +66,15 @@ def test_both_parts_of_a_text_in_two_siblings(spark):
     page = "<div class='intro'><p>A long beginning of number {n} with most words</p></div><div class='more'><p>And its end {n}</p></div><div class='legal'><p>Legal</p></div>"
     found = texts(spark, [(n, "https://x.org/", page.replace("{n}", str(n))) for n in range(5)])
     assert found[2][0] == "A long beginning of number 2 with most words\nAnd its end 2"
+
+
+def test_names_that_only_contain_a_menus_name_set_nothing_aside(spark):
+    page = (
+        "<body class='single no-sidebar'><div id='page' class='has-header-image'><div class='site-footer'><p>Foot {n}</p></div>"
+        "<div class='content with-sidebar'>BODY</div></div></body>"
+    )
+    article = page.replace("BODY", "<article class='post comment-open'><p>Text {n}.</p><ol class='comment-list'><li><article class='x'><p>me too {n}</p></article></ol></article>")
+    widget = page.replace("BODY", "<div class='widget'><article><p>Text {n}.</p></article></div>")
+    for url, html in (("https://a.org/", article), ("https://b.org/", widget), ("https://c.org/", page.replace("BODY", "<p>Text {n}.</p>"))):
+        found = texts(spark, [(n, url, html.replace("{n}", str(n))) for n in range(4)])
+        assert found[2][0] == "Text 2."
