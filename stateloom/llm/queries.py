@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stateloom.llm import decontaminate, langid, minhash, mixing, neighbours, pii, substrings, url_filter, warc, wrappers
+from stateloom.llm import centroids, decontaminate, langid, minhash, mixing, neighbours, pii, substrings, url_filter, warc, wrappers
 from stateloom.llm.shared import importable, kept
 
 
@@ -91,6 +91,13 @@ def op10_pii_pseudonyms(spark, sf):
     )
 
 
+def op13_centroid_clustering(spark, sf):
+    assigned, points = centroids.cluster(table(spark, sf, "embeddings"))
+    return centroids.with_inertia(assigned, points).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 LLM_QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_warc_seekable": op2_warc_seekable,
@@ -102,6 +109,7 @@ LLM_QUERIES = {
     "op8_nn_descent": op8_nn_descent,
     "op9_html_extraction": op9_html_extraction,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 OP1_SQL = r"""
@@ -162,8 +170,43 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from doc_words left join hit using (doc_id) left join named using (doc_id)
 """
 
+
+def op13_sql(rounds: int = 10) -> str:
+    """One block of common tables for each round; r<i> has the centroids after round i."""
+    assign = """d{i} as materialized (
+    select v.row, c.cluster, sum((v.x - c.x) * (v.x - c.x))::bigint as distance from parts v join r{i} c using (place) group by 1, 2
+), a{i} as materialized (
+    select row, cluster, distance from d{i} qualify row_number() over (partition by row order by distance, cluster) = 1
+)"""
+    move = """m{i} as materialized (
+    select a.cluster, v.place, sum(v.x) as s, count(*)::hugeint as n from a{i} a join parts v using (row) group by 1, 2
+), r{j} as materialized (
+    select r.cluster, r.place, coalesce(((m.s - ((m.s % m.n) + m.n) % m.n) // m.n)::bigint, r.x) as x from r{i} r left join m{i} m using (cluster, place)
+)"""
+    steps = [assign.format(i=i) + ", " + move.format(i=i, j=i + 1) for i in range(rounds)]
+    return f"""
+with kept as materialized (
+    select row_number() over () as row, vec_id, embedding as v from embeddings
+    where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as materialized (
+    select row, unnest(range(1, 65)) as place, unnest(list_transform(v, lambda x: floor(1024 * x::double)::bigint)) as x from kept
+), seeds as materialized (
+    select row, row_number() over (order by sha256('3:' || vec_id), v) - 1 as cluster from kept qualify cluster < 8
+), r0 as materialized (
+    select cluster, place, x from seeds join parts using (row)
+), {", ".join(steps)}, {assign.format(i=rounds)}, sums as (
+    select cluster, sum(distance)::bigint as cluster_inertia from a{rounds} group by 1
+), digests as (
+    select cluster, sha256(string_agg(x::varchar, ',' order by place)) as centroid_sha256 from r{rounds} group by 1
+)
+select vec_id, cluster::int as cluster, distance, cluster_inertia, (select sum(distance)::bigint from a{rounds}) as inertia, centroid_sha256
+from a{rounds} join kept using (row) join sums using (cluster) join digests using (cluster)
+"""
+
+
 LLM_ORACLES = {
     "op1_url_filter": OP1_SQL,
     "op2_warc_seekable": OP2_SQL,
     "op3_decontamination": OP3_SQL,
+    "op13_centroid_clustering": op13_sql(),
 }

@@ -47,6 +47,23 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """As `kept`; the shuffle files behind the table go as soon as it is written.
+
+    For frames that nothing reads again: a second run of `df` would have to shuffle anew.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN, "false")
+    conf.set(CLEAN, "true")
+    try:
+        return kept(df, name)
+    finally:
+        conf.set(CLEAN, before)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """`base`, with underscores added until no column of `df` has that name in any case."""
     taken = {c.lower() for c in df.columns}
