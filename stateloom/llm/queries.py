@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stateloom.llm import centroids, decontaminate, langid, minhash, mixing, neighbours, pii, substrings, url_filter, warc, wrappers
+from stateloom.llm import centroids, decontaminate, factoring, langid, minhash, mixing, neighbours, pii, substrings, url_filter, warc, wrappers
 from stateloom.llm.shared import importable, kept
 
 
@@ -91,6 +91,11 @@ def op10_pii_pseudonyms(spark, sf):
     )
 
 
+def op12_substring_dedup(spark, sf):
+    cut = factoring.remove_repeated_windows(table(spark, sf, "documents"), with_text=False)
+    return cut.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op13_centroid_clustering(spark, sf):
     assigned, points = centroids.cluster(table(spark, sf, "embeddings"))
     return centroids.with_inertia(assigned, points).select(
@@ -109,6 +114,7 @@ LLM_QUERIES = {
     "op8_nn_descent": op8_nn_descent,
     "op9_html_extraction": op9_html_extraction,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
 
@@ -170,6 +176,24 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from doc_words left join hit using (doc_id) left join named using (doc_id)
 """
 
+OP12_SQL = r"""
+with words as materialized (
+    select row_number() over () as row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), windows as materialized (
+    select row, doc_id, k, md5(array_to_string(list_slice(w, k, k + 12), ' ')) as gram
+    from (select row, doc_id, w, unnest(range(1, len(w) - 11)) as k from words where len(w) >= 13)
+), firsts as (
+    select gram, min(doc_id) as first_id from windows group by 1 having min(doc_id) < max(doc_id)
+), gone as (
+    select row, list(distinct place) as places from (
+        select row, unnest(range(k, k + 13)) as place from windows join firsts using (gram) where first_id < doc_id
+    ) group by 1
+)
+select doc_id, len(w)::bigint as n_words, coalesce(len(places), 0)::bigint as n_removed,
+    sha256(array_to_string(case when places is null then w else list_filter(w, lambda x, i: not list_contains(places, i)) end, ' ')) as kept_sha256
+from words left join gone using (row)
+"""
+
 
 def op13_sql(rounds: int = 10) -> str:
     """One block of common tables for each round; r<i> has the centroids after round i."""
@@ -208,5 +232,6 @@ LLM_ORACLES = {
     "op1_url_filter": OP1_SQL,
     "op2_warc_seekable": OP2_SQL,
     "op3_decontamination": OP3_SQL,
+    "op12_substring_dedup": OP12_SQL,
     "op13_centroid_clustering": op13_sql(),
 }

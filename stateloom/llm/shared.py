@@ -40,17 +40,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return fs.makeQualified(path).toString()
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` once to the shared folder and read it back: later steps survive lost executors."""
+def kept(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write `df` once to the shared folder and read it back: later steps survive lost executors.
+
+    `by`, a column of few values, deals the files out into folders: a filter on it reads only its own.
+    """
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """As `kept`; the shuffle files behind the table go as soon as it is written.
 
     For frames that nothing reads again: a second run of `df` would have to shuffle anew.
@@ -59,7 +63,7 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     before = conf.get(CLEAN, "false")
     conf.set(CLEAN, "true")
     try:
-        return kept(df, name)
+        return kept(df, name, by)
     finally:
         conf.set(CLEAN, before)
 
