@@ -43,8 +43,8 @@ from stateloom.llm.buffers import U64, chunks, mix, powers, prefix_sums, span_ha
 from stateloom.llm.shared import settled
 
 BLANKS = [32, 9, 10, 11, 12, 13]
-CHUNK = 12 << 20  # bytes of text, or one longer document
-BLOCK = 8 << 20  # bytes of segments parsed at once; a key's segments stay together
+CHUNK = 4 << 20  # bytes of text, or one longer document
+BLOCK = 4 << 20  # bytes of segments parsed at once; a key's segments stay together
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -66,6 +66,7 @@ def word_table() -> np.ndarray:
 
 
 IS_WORD = word_table()
+BLANKED = np.where(IS_WORD, np.arange(256), 32).astype(np.uint8)
 
 
 def packed(table: pa.Table) -> bytes:
@@ -80,17 +81,22 @@ def unpacked(blob: bytes) -> pa.Table:
 
 
 class Words:
-    """The words of some rows of text, each followed by one blank, and their hashes."""
+    """The words of some rows of text, with one blank between those of a row, and their hashes."""
 
     def __init__(self, column: pa.Array):
         data, offsets = text_bytes(column)
         starts, ends, self.first = word_spans(data, offsets, IS_WORD)
         sizes = ends - starts
         self.n = len(starts)
-        self.ends = np.cumsum(sizes + 1) - 1  # of word i in `data`, without its blank
-        self.starts = self.ends - sizes
-        self.data = np.full(int(self.ends[-1]) + 1 if self.n else 0, 32, np.uint8)
-        self.data[places(self.starts, sizes)] = data[places(starts, sizes)]
+        take = IS_WORD[data]
+        filled = np.flatnonzero(np.diff(self.first))
+        open_ended = self.first[1:][filled] - 1  # a row's last word has no blank behind it
+        self.spaced = np.ones(self.n, np.int64)
+        self.spaced[open_ended] = 0
+        take[ends[self.spaced > 0]] = True
+        self.data = BLANKED[data[take]]
+        self.starts = np.cumsum(sizes + self.spaced) - sizes - self.spaced
+        self.ends = self.starts + sizes
         self.row = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
         self.hashes = span_hashes(prefix_sums(self.data), self.starts, self.ends)
 
@@ -118,15 +124,18 @@ def places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def anchored(words: Words, options: Options) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Segments: first window, number of windows, and anchor hash."""
-    start = np.flatnonzero(words.whole(options.window))
+    whole = words.whole(options.window)
+    start = np.flatnonzero(whole)
     if not len(start):
         return start, start, np.empty(0, np.int64)
-    grams = words.runs(options.anchor)
-    least, at = grams[start], start.copy()
+    grams, many = words.runs(options.anchor), words.n - options.window + 1
+    least, at = grams[:many].copy(), np.arange(many)
     for step in range(1, options.window - options.anchor + 1):
-        other = grams[start + step]
+        other = grams[step : step + many]
         smaller = other < least
-        least[smaller], at[smaller] = other[smaller], (start + step)[smaller]
+        np.minimum(least, other, out=least)
+        at[smaller] = np.flatnonzero(smaller) + step
+    least, at = least[whole[:many]], at[whole[:many]]
     # one place of an anchor lies in one row: windows that share it follow one another
     heads = np.flatnonzero(np.diff(at, prepend=-1) != 0)
     return start[heads], np.diff(np.append(heads, len(start))), least[heads].view(np.int64)
@@ -315,6 +324,16 @@ def parse_blocks(options: Options):
     return run
 
 
+def left_over(words: Words, removed: np.ndarray) -> list[bytes]:
+    """Each row's words that are not removed, joined by one blank."""
+    take = np.ones(len(words.data), bool)
+    gone = np.flatnonzero(removed)
+    take[places(words.starts[gone], words.ends[gone] - words.starts[gone] + words.spaced[gone])] = False
+    kept = np.concatenate([[0], np.cumsum(take)])
+    data, cuts = words.data[take].tobytes(), kept[np.append(words.starts, len(words.data))[words.first]].tolist()
+    return [data[a:b].removesuffix(b" ") for a, b in zip(cuts, cuts[1:])]
+
+
 def cleaned(options: Options, kind: pa.DataType, with_text: bool):
     """A chunk, the places of its segments and what was found for them to its documents without repeated words."""
     schema = pa.schema(
@@ -339,12 +358,7 @@ def cleaned(options: Options, kind: pa.DataType, with_text: bool):
             cover[: words.n] += np.bincount(gone, minlength=words.n)[: words.n]
             cover -= np.bincount(gone + options.window, minlength=words.n + 1)
         removed = np.cumsum(cover)[:-1] > 0
-        kept = np.flatnonzero(~removed)
-        size = words.ends[kept] - words.starts[kept] + 1
-        data = words.data[places(words.starts[kept], size)].tobytes()
-        ends = np.concatenate([[0], np.cumsum(size)])
-        cuts = ends[np.searchsorted(kept, words.first)].tolist()
-        texts = [data[a : max(a, b - 1)] for a, b in zip(cuts, cuts[1:])]
+        texts = left_over(words, removed)
         counted = np.concatenate([[0], np.cumsum(removed)])
         columns = [
             rows.column("id").combine_chunks(), pa.array(np.diff(words.first)), pa.array(np.diff(counted[words.first])),
