@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stateloom.llm import centroids, decontaminate, factoring, langid, minhash, mixing, neighbours, pii, substrings, url_filter, warc, wrappers
+from stateloom.llm import centroids, decontaminate, factoring, langid, minhash, mixing, neighbours, phrases, pii, substrings, url_filter, warc, wrappers
 from stateloom.llm.shared import importable, kept
 
 
@@ -91,6 +91,10 @@ def op10_pii_pseudonyms(spark, sf):
     )
 
 
+def op11_phrase_collocations(spark, sf):
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
 def op12_substring_dedup(spark, sf):
     cut = factoring.remove_repeated_windows(table(spark, sf, "documents"), with_text=False)
     return cut.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
@@ -114,6 +118,7 @@ LLM_QUERIES = {
     "op8_nn_descent": op8_nn_descent,
     "op9_html_extraction": op9_html_extraction,
     "op10_pii_pseudonyms": op10_pii_pseudonyms,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_substring_dedup": op12_substring_dedup,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
@@ -176,6 +181,41 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from doc_words left join hit using (doc_id) left join named using (doc_id)
 """
 
+OP11_SQL = r"""
+with pieces as materialized (
+    select row_number() over () as piece, lang, regexp_extract_all(part, '[^\x20\x09]+') as w
+    from (
+        select coalesce(lang, 'und') as lang,
+            unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as part
+        from documents
+    )
+), sizes as (
+    select lang, sum(len(w))::bigint as n from pieces group by 1
+), counts as materialized (
+    select lang, w, count(*) as f
+    from (select lang, list_slice(w, k, k + size - 1) as w from (
+        select lang, w, size, unnest(range(1, len(w) - size + 2)) as k from pieces, range(1, 6) sizes(size) where len(w) >= size
+    )) group by 1, 2 having count(*) >= 100
+), cuts as (
+    select c.lang, c.w, c.f as a, k, l.f as l, r.f as r, (1000::hugeint * c.f * n) // (l.f::hugeint * r.f) as score
+    from (select *, unnest(range(1, len(w))) as k from counts where len(w) > 1) c
+    join sizes s on s.lang = c.lang
+    join counts l on l.lang = c.lang and l.w = list_slice(c.w, 1, k)
+    join counts r on r.lang = c.lang and r.w = list_slice(c.w, k + 1, len(c.w))
+), lowest as (
+    select * from cuts qualify row_number() over (partition by lang, w order by score, k) = 1
+), inside as (
+    select lang, list_slice(w, k, k + size - 1) as w, max(f) as f
+    from (select lang, w, f, size, unnest(range(1, len(w) - size + 2)) as k from counts, range(2, 5) sizes(size) where len(w) > size) group by 1, 2
+), ranked as (
+    select lowest.lang, array_to_string(lowest.w, ' ') as phrase, a, l, r, n, score::bigint as score,
+        row_number() over (partition by lowest.lang order by score desc, a desc, array_to_string(lowest.w, ' ')) as rank
+    from lowest join sizes on sizes.lang = lowest.lang left join inside on inside.lang = lowest.lang and inside.w = lowest.w
+    where inside.f is null or 100 * inside.f < 100 * a
+)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""
+
 OP12_SQL = r"""
 with words as materialized (
     select row_number() over () as row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
@@ -232,6 +272,7 @@ LLM_ORACLES = {
     "op1_url_filter": OP1_SQL,
     "op2_warc_seekable": OP2_SQL,
     "op3_decontamination": OP3_SQL,
+    "op11_phrase_collocations": OP11_SQL,
     "op12_substring_dedup": OP12_SQL,
     "op13_centroid_clustering": op13_sql(),
 }
