@@ -27,12 +27,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stateloom.llm.buffers import LOWER, chunks, text_bytes, word_spans
-from stateloom.llm.shared import settled
+from stateloom.llm.shared import passing, settled
 
 # What ends a piece, and what parts the words of one.
 PIECE_ENDS = [*b".,;:!?", 10, 11, 12, 13]
 BLANKS = [32, 9]
-CHUNK = 8 << 20  # bytes of text, or one longer document
+CHUNK = 12 << 20  # bytes of text; a document is not split, so that one more may follow
 SALTS = 64  # groups in which a language's best are found before they meet
 
 
@@ -58,25 +58,29 @@ ENDS = marks(PIECE_ENDS)
 IN_WORD = ~marks(PIECE_ENDS + BLANKS)
 
 
-def blob(**columns: np.ndarray) -> bytes:
-    table = pa.table({k: pa.array(v.astype(np.int32)) for k, v in columns.items()})
+def packed(**columns) -> bytes:
+    table = pa.table(columns)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
 
 
-def places_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and phrases of a chunk's relation."""
-    table = pa.ipc.open_stream(data).read_all()
-    return np.cumsum(table.column("step").to_numpy(), dtype=np.int64), table.column("u").to_numpy().astype(np.int64)
+def unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all().combine_chunks()
 
 
 def relation(position: np.ndarray, u: np.ndarray) -> bytes:
-    return blob(step=np.diff(position, prepend=0), u=u)
+    """Places in the order of their positions, and which of the chunk's phrases stands at each."""
+    return packed(step=np.diff(position, prepend=0).astype(np.int32), u=u.astype(np.int32))
 
 
-FIRST = pa.schema([("places", pa.bool_()), ("chunk", pa.int64()), ("u", pa.int32()), ("n", pa.int64()), ("lang", pa.string()), ("word", pa.binary()), ("rows", pa.binary())])
+def places_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    table = unpacked(data)
+    return np.cumsum(table.column("step").to_numpy(), dtype=np.int64), table.column("u").to_numpy().astype(np.int64)
+
+
+RELATION = "chunk long, places binary, phrases binary"
 
 
 def words_of(langs: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, pa.Array, np.ndarray]:
@@ -98,57 +102,91 @@ def words_of(langs: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
 
 
 def first_relation(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task, count = TaskContext.get().partitionId(), 0
+    """Texts to chunks: places of words, and the chunk's distinct words with their counts.
+
+    A chunk is named after its task and the distinct words that the task has met before, so that name plus
+    number within the chunk is a number that no other word of any chunk has.
+    """
+    base = TaskContext.get().partitionId() << 40
+    for langs, texts in filled(batches):
+        position, u, lang, word, n = words_of(langs, texts)
+        if len(n):
+            phrases = packed(n=n, lang=lang.cast(pa.string()), word=word.cast(pa.binary()))
+            yield pa.RecordBatch.from_pylist([{"chunk": base, "places": relation(position, u), "phrases": phrases}], schema=CHUNK_ROWS)
+            base += len(n)
+
+
+def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Languages and texts of one chunk after the other, across batches."""
+    waiting, size = [], 0
     for batch in batches:
-        for lo, hi, _, _ in chunks(batch.column("text"), CHUNK, 1 << 30):
-            position, u, lang, word, n = words_of(batch.column("lang").slice(lo, hi - lo), batch.column("text").slice(lo, hi - lo))
-            chunk, many = task << 32 | count, len(n)
-            count += 1
-            if not many:
-                continue
-            none = pa.nulls(many, pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.zeros(many, bool)), pa.array(np.full(many, chunk)), pa.array(np.arange(many, dtype=np.int32)), pa.array(n),
-                    lang.cast(pa.string()), word.cast(pa.binary()), none,
-                ],
-                schema=FIRST,
-            )
-            yield pa.RecordBatch.from_pylist([{"places": True, "chunk": chunk, "rows": relation(position, u)}], schema=FIRST)
-
-
-def extending(size: int, last: bool):
-    """A chunk's relation and its frequent phrases of `size` words to the phrases one word longer, and their relation."""
-    schema = pa.schema(
-        [("places", pa.bool_()), ("chunk", pa.int64()), ("u", pa.int32()), ("n", pa.int64()), *((f"w{i}", pa.int64()) for i in range(1, size + 2)), ("rows", pa.binary())]
-    )
+        for lo, hi, data, _ in chunks(batch.column("text"), CHUNK >> 3, 1 << 30):
+            waiting.append(batch.slice(lo, hi - lo))
+            size += len(data)
+            if size >= CHUNK:
+                yield together(waiting)
+                waiting, size = [], 0
+    if waiting:
+        yield together(waiting)
+
+
+def together(batches: list[pa.RecordBatch]) -> tuple[pa.Array, pa.Array]:
+    table = pa.Table.from_batches(batches)
+    # 64-bit offsets: a few long texts may pass 2 GB
+    return tuple(table.column(c).cast(pa.large_string()).combine_chunks() for c in ("lang", "text"))
+
+
+CHUNK_ROWS = pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("phrases", pa.binary())])
+
+
+def distinct_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each of a chunk's distinct phrases."""
+    for batch in batches:
+        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("phrases")):
+            table = unpacked(blob.as_py())
+            many = table.num_rows
+            table = table.append_column("chunk", pa.array(np.full(many, chunk)))
+            if "word" in table.column_names:
+                table = table.append_column("u", pa.array(np.arange(many, dtype=np.int32)))
+            yield from table.to_batches(max_chunksize=1 << 16)
+
+
+def words_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for blob in batch.column("phrases"):
+            yield from unpacked(blob.as_py()).group_by("lang").aggregate([("n", "sum")]).rename_columns(["lang", "n"]).to_batches()
+
+
+def extending(size: int):
+    """A chunk's relation of phrases of `size` words and the frequent ones of them to the relation one word longer."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return schema.empty_table()
-        chunk = left.column("chunk")[0].as_py()
-        position, u = places_of(left.column("rows")[0].as_py())
-        frequent = right.column("u").combine_chunks().to_numpy()
+            return CHUNK_ROWS.empty_table()
+        position, u = places_of(left.column("places")[0].as_py())
+        if size == 1:
+            right = right.sort_by("w1")
+        else:  # words come back; which of the chunk's phrases they are is looked up
+            known = unpacked(left.column("phrases")[0].as_py()).drop_columns("n")
+            known = known.append_column("u", pa.array(np.arange(known.num_rows, dtype=np.int32)))
+            right = known.join(right.drop_columns("chunk"), keys(size), join_type="inner").sort_by("u")
+        right = right.combine_chunks()
+        frequent, words = right.column("u").to_numpy(), [right.column(k).to_numpy() for k in keys(size)]
         row = np.full(int(u.max()) + 1, -1, np.int64)
         row[frequent] = np.arange(len(frequent))
         at = row[u]
         position, at = position[at >= 0], at[at >= 0]
         follows = np.flatnonzero(np.diff(position) == 1)
+        if not len(follows):
+            return CHUNK_ROWS.empty_table()
         both, u, n = np.unique(at[follows] * len(frequent) + at[follows + 1], return_inverse=True, return_counts=True)
         a, b = np.divmod(both, len(frequent))
-        words = [right.column(f"w{i}").combine_chunks().to_numpy() for i in range(1, size + 1)]
-        table = pa.table(
-            [
-                pa.array(np.zeros(len(both), bool)), pa.array(np.full(len(both), chunk)), pa.array(np.arange(len(both), dtype=np.int32)), pa.array(n),
-                *(pa.array(w[a]) for w in words), pa.array(words[-1][b]), pa.nulls(len(both), pa.binary()),
-            ],
-            schema=schema,
+        phrases = packed(n=n, **{k: w[a] for k, w in zip(keys(size), words)}, **{f"w{size + 1}": words[-1][b]})
+        return pa.Table.from_pylist(
+            [{"chunk": left.column("chunk")[0].as_py(), "places": relation(position[follows], u), "phrases": phrases}], schema=CHUNK_ROWS
         )
-        if last or not len(both):
-            return table
-        return pa.concat_tables([table, pa.Table.from_pylist([{"places": True, "chunk": chunk, "rows": relation(position[follows], u)}], schema=schema)])
 
-    return run, "places boolean, chunk long, u int, n long, " + ", ".join(f"w{i} long" for i in range(1, size + 2)) + ", rows binary"
+    return run
 
 
 def keys(size: int, start: int = 1) -> list[str]:
@@ -158,25 +196,39 @@ def keys(size: int, start: int = 1) -> list[str]:
 def frequent_phrases(documents: DataFrame, lang: str, text: str, options: Options) -> tuple[DataFrame, list[DataFrame]]:
     """Frequent words with their language's number of words, and for each size from 2 the frequent phrases (w1.., f)."""
     rows = documents.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
-    parts = settled(rows.mapInArrow(first_relation, "places boolean, chunk long, u int, n long, lang string, word binary, rows binary"), "words", "places")
-    named, stands = parts.filter("not places"), parts.filter("places").select("chunk", "rows")
-    sizes = named.groupBy("lang").agg(F.sum("n").alias("words"))
-    counted = named.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= options.least)
-    # written, so that the numbers stay as they are
-    words = settled(counted.join(sizes, "lang").select(F.monotonically_increasing_id().alias("w1"), "lang", F.col("word").cast("string").alias("word"), "words", "f"), "frequent-words")
-    spelled = words.select("w1", "lang", F.col("word").cast("binary").alias("word"))
-    left = settled(named.select("chunk", "u", "lang", "word").join(spelled, ["lang", "word"]).select("chunk", "u", "w1"), "left-1")
+    places = passing(rows.mapInArrow(first_relation, RELATION), "places-1")
+    named = places.rows.select("chunk", "phrases").mapInArrow(distinct_phrases, "n long, lang string, word binary, chunk long, u int")
+    of_word = Window.partitionBy("lang", "word")
+    number = (F.col("chunk") + F.col("u")).alias("number")
+    counted = named.select("chunk", "u", "lang", "word", "n", number).select(
+        "chunk", "u", "lang", "word", F.sum("n").over(of_word).alias("f"), F.min("number").over(of_word).alias("w1"), "number"
+    )
+    here = F.col("w1") == F.col("number")  # one row of each word says what it is
+    left = passing(
+        counted.filter(F.col("f") >= options.least).select("chunk", "u", "w1", *(F.when(here, F.col(c)).alias(c) for c in ("f", "lang", "word"))), "left-1"
+    )
+    sizes = places.rows.select("phrases").mapInArrow(words_by_language, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("words"))
+    words = settled(
+        left.rows.filter("f is not null").join(sizes, "lang").select("w1", "lang", F.col("word").cast("string").alias("word"), "words", "f"), "frequent-words"
+    )
     found = []
     for size in range(2, options.longest + 1):
-        step, schema = extending(size - 1, size == options.longest)
-        parts = settled(stands.groupBy("chunk").cogroup(left.groupBy("chunk")).applyInArrow(step, schema), f"phrases-{size}", "places")
-        stands = parts.filter("places").select("chunk", "rows")
-        # a chunk has a phrase once: the window holds a row a chunk, and what it keeps is the semi-join
-        total = F.sum("n").over(Window.partitionBy(*keys(size))).alias("f")
-        first = (F.row_number().over(Window.partitionBy(*keys(size)).orderBy("chunk")) == 1).alias("first")
-        summed = parts.filter("not places").select("chunk", "u", *keys(size), total, first)
-        left = settled(summed.filter(F.col("f") >= options.least), f"left-{size}")
-        found.append(left.filter("first").select(*keys(size), "f"))
+        chosen = left.rows.select("chunk", *(["u"] if size == 2 else []), *keys(size - 1))
+        relations = places.rows.drop("phrases") if size == 2 else places.rows  # words are named by what comes back
+        joined = relations.groupBy("chunk").cogroup(chosen.groupBy("chunk"))
+        before, places = (places, left), passing(joined.applyInArrow(extending(size - 1), RELATION), f"places-{size}")
+        for done in before[: 1 if size > 2 else 2]:
+            done.drop()
+        named = places.rows.select("chunk", "phrases").mapInArrow(
+            distinct_phrases, "n long, " + ", ".join(f"{k} long" for k in keys(size)) + ", chunk long"
+        )
+        # a chunk names a phrase once: the window holds a row a chunk, and what is left of it is the semi-join
+        of_phrase = Window.partitionBy(*keys(size))
+        counted = named.select("chunk", *keys(size), F.sum("n").over(of_phrase).alias("f"), F.min("chunk").over(of_phrase).alias("first"))
+        here = F.col("chunk") == F.col("first")
+        left = passing(counted.filter(F.col("f") >= options.least).select("chunk", *keys(size), F.when(here, F.col("f")).alias("f")), f"left-{size}")
+        found.append(left.rows.filter("f is not null").select(*keys(size), "f"))
+    places.drop()
     return words, found
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,10 +46,14 @@ def kept(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
 
     `by`, a column of few values, deals the files out into folders: a filter on it reads only its own.
     """
+    return stored(df, name, by).rows
+
+
+def stored(df: DataFrame, name: str, by: str | None = None) -> Scratch:
     path = scratch(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(by) if by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return Scratch(df.sparkSession.read.schema(df.schema).parquet(path), path)
 
 
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -59,15 +64,37 @@ def settled(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
 
     For frames that nothing reads again: a second run of `df` would have to shuffle anew.
     """
+    return passing(df, name, by).rows
+
+
+def passing(df: DataFrame, name: str, by: str | None = None) -> Scratch:
+    """As `settled`, for a table that is dropped when the next one stands."""
     conf = df.sparkSession.conf
     before = conf.get(CLEAN, "false")
     conf.set(CLEAN, "true")
     try:
-        return kept(df, name, by)
+        return stored(df, name, by)
     finally:
         conf.set(CLEAN, before)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table that nothing reads any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@dataclass(frozen=True)
+class Scratch:
+    """A table that was written by `settled`, with its path, so that it can go before the application ends."""
+
+    rows: DataFrame
+    path: str
+
+    def drop(self) -> None:
+        discard(self.rows.sparkSession, self.path)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """`base`, with underscores added until no column of `df` has that name in any case."""
     taken = {c.lower() for c in df.columns}
