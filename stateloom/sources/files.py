@@ -69,13 +69,13 @@ def settled(modified: Column, as_of: dt.datetime | None, seconds: int = SETTLE_S
 
 
 def with_digests(files: DataFrame) -> DataFrame:
-    """Adds md5, first line and whether quoted fields hold line breaks, in one streamed read of each file.
+    """Adds md5, header record, dialect and whether quoted fields hold line breaks, in one streamed read of each file.
 
     Needs `path`; `content` is dropped, so that Spark's reader only lists.
     """
     listed = files.drop("content")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in listed.schema.fields)
-    return listed.mapInPandas(scan_batches, f"{fields}, md5 string, header string, quoted_breaks boolean")
+    return listed.mapInPandas(scan_batches, f"{fields}, md5 string, header string, separator string, quote string, escape string, quoted_breaks boolean")
 
 
 def classify(files: DataFrame, ledger: DataFrame, as_of: dt.datetime | None = None) -> DataFrame:

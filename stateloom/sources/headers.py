@@ -1,4 +1,4 @@
-"""Header lines: separator and column names."""
+"""Header records: column names."""
 
 from __future__ import annotations
 
@@ -7,19 +7,7 @@ import csv
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values, in order of preference where the counts are equal.
-SEPARATORS = (",", ";", "\t", "|")
-
-
-def separator_of(header: Column) -> Column:
-    """The separator seen most often outside quotes."""
-    bare = F.regexp_replace(header, '"[^"]*"', "")
-    counts = [(F.length(bare) - F.length(F.replace(bare, F.lit(s), F.lit("")))).alias("n") for s in SEPARATORS]
-    ranked = [
-        F.struct(count.alias("hits"), F.lit(-rank).alias("rank"), F.lit(s).alias("sep"))
-        for rank, (s, count) in enumerate(zip(SEPARATORS, counts))
-    ]
-    return F.greatest(*ranked)["sep"]
+from stateloom.sources.dialects import Dialect
 
 
 def clean_header(header: Column) -> Column:
@@ -27,13 +15,18 @@ def clean_header(header: Column) -> Column:
     return F.regexp_replace(header, "^﻿|\r$", "")
 
 
-def column_names(header: str, separator: str) -> list[str]:
+def column_names(header: str, dialect: Dialect) -> list[str]:
     """Names as the file gives them; a blank one is named by position, a repeated one numbered."""
-    if header.count('"') % 2:
-        raise ValueError(f"the header does not end on its first line: {header[:80]!r}")
+    separator, quote, escape = dialect
+    if quote and escape == quote and header.count(quote) % 2:
+        raise ValueError(f"the header does not end: {header[:80]!r}")
+    reader = csv.reader(
+        [header], delimiter=separator, quotechar=quote or None, doublequote=escape == quote, escapechar=escape if escape not in ("", quote) else None,
+        quoting=csv.QUOTE_MINIMAL if quote else csv.QUOTE_NONE,
+    )
     names: list[str] = []
     taken: set[str] = set()
-    for position, name in enumerate(next(csv.reader([header], delimiter=separator), [])):
+    for position, name in enumerate(next(reader, [])):
         base = name or f"column{position}"
         candidate, number = base, 0
         while candidate.lower() in taken:

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 from stateloom.functions.keys import load_key
 from stateloom.operators.incremental import distinct_per_file
 from stateloom.operators.mapping import LOAD_KEY, align
-from stateloom.sources.headers import clean_header, column_names, separator_of
+from stateloom.sources.dialects import Dialect
+from stateloom.sources.headers import clean_header, column_names
 
 _FILE = "__file"
 
@@ -22,7 +23,7 @@ class NewFile(NamedTuple):
     path: str
     src_path: str
     header: str
-    separator: str
+    dialect: Dialect
     quoted_breaks: bool
 
 
@@ -31,22 +32,22 @@ def new_files(classified: DataFrame, table_name: str) -> list[NewFile]:
     header = clean_header(F.col("header"))
     rows = (
         classified.filter((F.col("state") == "new") & (F.col("table_name") == table_name))
-        .select("path", "src_path", header.alias("header"), separator_of(header).alias("separator"), "quoted_breaks")
+        .select("path", "src_path", header.alias("header"), F.struct("separator", "quote", "escape").alias("dialect"), "quoted_breaks")
         .toLocalIterator()
     )
-    return sorted((NewFile(*row) for row in rows), key=lambda f: f.src_path)
+    return sorted((NewFile(r.path, r.src_path, r.header, Dialect(*r.dialect), r.quoted_breaks) for r in rows), key=lambda f: f.src_path)
 
 
 def table_columns(files: Sequence[NewFile]) -> list[str]:
     """The first non-empty file, in path order, sets the table's columns."""
     for file in files:
         if file.header:
-            return column_names(file.header, file.separator)
+            return column_names(file.header, file.dialect)
     return []
 
 
 def read_group(
-    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], separator: str, multi_line: bool,
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], dialect: Dialect, multi_line: bool,
     mode: str = "FAILFAST",
 ) -> DataFrame:
     """Files with one and the same header, every column text, plus the file each row came from."""
@@ -54,9 +55,9 @@ def read_group(
     reader = (
         spark.read.schema(schema)
         .option("header", True)
-        .option("sep", separator)
-        .option("quote", '"')
-        .option("escape", '"')
+        .option("sep", dialect.separator)
+        .option("quote", dialect.quote)
+        .option("escape", dialect.escape or "\\")
         .option("multiLine", multi_line)
         .option("mode", mode)
         .option("encoding", "UTF-8")
@@ -69,20 +70,20 @@ def read_statements(
 ) -> DataFrame:
     """Load key and the table's data columns, distinct within each file.
 
-    Files are read per (header, separator, line breaks) signature, not one by one: Spark binds
+    Files are read per (header, dialect, line breaks) signature, not one by one: Spark binds
     columns of a multi-file read by position, so files whose headers differ must not share a read.
     A key covers the columns of the row's own file, extra ones included.
     """
     files = list(files)
     target = list(target) if target is not None else table_columns(files)
-    groups: dict[tuple[str, str, bool], list[str]] = {}
+    groups: dict[tuple[str, Dialect, bool], list[str]] = {}
     for file in files:
         if file.header:
-            groups.setdefault((file.header, file.separator, file.quoted_breaks), []).append(file.path)
+            groups.setdefault((file.header, file.dialect, file.quoted_breaks), []).append(file.path)
     frames = []
-    for (header, separator, breaks), paths in groups.items():
-        columns = column_names(header, separator)
-        rows = read_group(spark, paths, columns, separator, breaks, mode)
+    for (header, dialect, breaks), paths in groups.items():
+        columns = column_names(header, dialect)
+        rows = read_group(spark, paths, columns, dialect, breaks, mode)
         keyed = rows.withColumn(LOAD_KEY, load_key(rows, columns))
         frames.append(align(keyed, [LOAD_KEY, *target, _FILE]))
     if not frames:
