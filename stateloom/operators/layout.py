@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stateloom.functions.cells import cell_text
@@ -34,6 +34,12 @@ def display(df: DataFrame, layout: dict[str, str] | None = None) -> DataFrame:
     return stringified(renamed(df, layout))
 
 
+def display_cells(df: DataFrame, layout: dict[str, str] | None = None) -> Column:
+    """A row's cells in display order as one array of text."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return F.array(*[cell_text(source, kinds[source]) for source in (layout or DISPLAY_COLUMNS)])
+
+
 def display_tolerant(df: DataFrame, layout: dict[str, str] | None = None) -> DataFrame:
     """The display layout by name; a missing source column is empty text, others are ignored."""
     kinds = {f.name: f.dataType for f in df.schema.fields}

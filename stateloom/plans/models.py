@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stateloom.functions.clock import local_date
@@ -57,8 +57,8 @@ def mart(core_rows: DataFrame, bank: Bank, run_ts: dt.datetime) -> DataFrame:
     )
 
 
-def combined_view(mart_rows: DataFrame, bank: Bank) -> DataFrame:
-    """Payments, and a reward row beside every payment that earned one, from one pass over the mart."""
+def view_rows(bank: Bank) -> Column:
+    """The payment row of a mart row, and a reward row if it earned one, as an array."""
     payment = F.struct(
         F.lit(bank.label).alias("bank_nm"),
         "category_nm",
@@ -75,5 +75,15 @@ def combined_view(mart_rows: DataFrame, bank: Bank) -> DataFrame:
         "transaction_currency_cd",
         "transaction_dt",
     )
-    rows = F.when(F.col("total_rewards_amt") > 0, F.array(payment, reward)).otherwise(F.array(payment))
-    return mart_rows.select(F.inline(rows))
+    return F.when(F.col("total_rewards_amt") > 0, F.array(payment, reward)).otherwise(F.array(payment))
+
+
+def combined_view(mart_rows: DataFrame, bank: Bank) -> DataFrame:
+    """Payments, and a reward row beside every payment that earned one, from one pass over the mart."""
+    return mart_rows.select(F.inline(view_rows(bank)))
+
+
+def keyed_view(mart_rows: DataFrame, bank: Bank) -> DataFrame:
+    """The combined view's rows under keys of their own, with the time their mart row was written."""
+    rows = mart_rows.select("transaction_bk", INGESTED_AT, F.posexplode(view_rows(bank)).alias("place", "row"))
+    return rows.select(F.concat_ws("#", "transaction_bk", "place").alias("row_key"), INGESTED_AT, "row.*")

@@ -15,6 +15,7 @@ from stateloom.operators.mapping import run_stamp
 from stateloom.operators.retention import KEEP_SNAPSHOTS, pending_archive, retention_plan
 from stateloom.plans.warehouse import Warehouse
 from stateloom.session import checkpoint
+from stateloom.sinks.latest import LatestCopy
 from stateloom.sinks.tables import TableStore
 from stateloom.sources.files import find_files
 
@@ -98,6 +99,15 @@ def prune_snapshots(spark: SparkSession, exports: str, keep: int = KEEP_SNAPSHOT
     return {"deleted_count": len(doomed), "kept_count": kept}
 
 
+def drop_old_copies(copy: LatestCopy, keep: int = 2) -> list[str]:
+    """Delete the versions of a latest copy that no recent pointer names, what failed publishes left included."""
+    system, base = _file_system(qualified(copy.spark, copy.path))
+    doomed = copy.expired(keep)
+    for folder in doomed:
+        system.delete_dir(f"{base}/{folder}")
+    return doomed
+
+
 def drop_expired(store: TableStore, keep: int = 2) -> list[str]:
     """Delete the directories no recent version of a table uses; readers of the newest stay safe.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stateloom.sinks.outbox import Outbox
 from stateloom.sinks.tables import TableStore
 
 LEDGER_SCHEMA = (
@@ -34,6 +35,9 @@ class Warehouse:
     def bookmarks(self) -> TableStore:
         return self._store("meta/export_bookmark")
 
+    def outbox(self, source: str) -> Outbox:
+        return Outbox(self.spark, f"{self.path}/outbox", f"{source}_transactions")
+
     def staging(self, source: str) -> TableStore:
         return self._store(f"stg/{source}_transactions")
 

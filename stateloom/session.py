@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,17 @@ def build_session(
     return spark
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name where every executor can write, below the session's `spark.checkpoint.dir`."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        configured = tempfile.mkdtemp(prefix="stateloom-shared-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return f"{configured.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared checkpoint folder, so a lost executor costs no recompute.
 

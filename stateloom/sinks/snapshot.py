@@ -8,10 +8,9 @@ import json
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stateloom.operators.fingerprint import fold_md5
 from stateloom.quality.gate import ContractError
 from stateloom.session import checkpoint
-from stateloom.sources.files import find_files, with_digests
+from stateloom.sinks.latest import LatestCopy, folder_md5, part_files, write_csv
 
 # The keys of a manifest.
 MANIFEST_KEYS = (
@@ -19,50 +18,38 @@ MANIFEST_KEYS = (
 )
 
 
-def part_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The part files of a written folder with their digests and header lines."""
-    return with_digests(find_files(spark, folder, "part-*").withColumnRenamed("length", "size"))
-
-
-def folder_md5(spark: SparkSession, folder: str) -> str:
-    """One checksum over a folder's part files, whatever their order."""
-    return part_files(spark, folder).agg(fold_md5(F.col("md5")).alias("md5")).first()["md5"]
-
-
-def write_csv(df: DataFrame, folder: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
-
-
 def publish_snapshot(
     df: DataFrame, table: str, exports: str, results: str, run_ts: dt.datetime, materialize: bool = True
 ) -> dict:
     """Write the dated snapshot and the latest copy; return the manifest, which is stored as JSON.
 
-    Both copies are folders of part files. `materialize` evaluates the frame once for both; leave
+    Both copies are folders of part files. The latest copy is the last to change, by its pointer: until
+    then its readers see the one before. `materialize` evaluates the frame once for both; leave
     it off for a frame that reads stored tables only and gives the same rows each time.
     """
     spark = df.sparkSession
     date_folder, stamp = run_ts.strftime("%Y%m%d"), run_ts.strftime("%Y%m%d_%H%M%S")
     name = table.replace(".", "_")
     csv_path = f"{exports.rstrip('/')}/{date_folder}/{name}_{stamp}.csv"
-    results_path = f"{results.rstrip('/')}/bank_transactions.csv"
+    latest = LatestCopy(spark, f"{results.rstrip('/')}/bank_transactions.csv")
     rows = checkpoint(df) if materialize else df
     seen = Observation()
     write_csv(rows.observe(seen, F.count(F.lit(1)).alias("rows")), csv_path)  # counted while written
-    write_csv(rows, results_path)
+    written = latest.write(rows, stamp)
     manifest = {
         "table": table,
         "csv_path": csv_path,
-        "results_path": results_path,
+        "results_path": f"{latest.path}/{written.folder}",
         "row_count": seen.get["rows"],
         "md5": folder_md5(spark, csv_path),
-        "results_md5": folder_md5(spark, results_path),
+        "results_md5": written.md5,
         "created_at_utc": run_ts.isoformat(timespec="seconds") + "Z",
         "date_folder": date_folder,
         "timestamp": stamp,
     }
     target = f"{exports.rstrip('/')}/{date_folder}/{name}_manifest_{stamp}.json"
     spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1).write.mode("overwrite").text(target)
+    latest.point(written)
     return manifest
 
 
