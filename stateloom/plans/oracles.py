@@ -374,4 +374,12 @@ with folders as (
 select *, case when row_number() over (partition by dataset order by modified_at desc, folder desc) <= 10
   then 'keep' else 'delete' end as action
 from folders""",
+    "dialect_files": """
+select cast(o_orderkey as varchar) as order_key, o_orderstatus as status,
+  o_orderpriority || '; it''s "' || cast(o_custkey as varchar) || '", ' || o_orderstatus as note
+from orders""",
+    "latest_copy": "select c_custkey, ' ' || c_name || ' ' as name, cast(c_acctbal as double) as c_acctbal from customer",
+    "outbox_second_batch": """
+select event_id, case when event_id % 7 = 0 then upper(event_type) else event_type end as event_type, cast(user_id as varchar) as user_text
+from events where event_id % 2 <> 0 or event_id % 7 = 0""",
 }
