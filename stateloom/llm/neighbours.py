@@ -1,8 +1,13 @@
 """Approximate nearest neighbours: an NN-descent graph built by Spark joins, and greedy search on it.
 
-Equal vectors are one node. The graph begins with the nearest nodes inside random hyperplane buckets;
-then neighbours of neighbours are compared, round after round, until few lists change. A node never
-gathers more than a bounded sample of its neighbours, however many nodes point to it.
+Equal vectors are one node. The graph begins with the nearest nodes inside random hyperplane buckets and inside
+one random group, so that no node and no small far group stays alone; then neighbours of neighbours are
+compared, round after round, until few lists change. A node never gathers more than a bounded sample of its
+neighbours, however many nodes point to it: what is left out stays fresh and has its turn in a later round.
+
+The search is calibrated: it begins from each query's own node, its buckets and the same few nodes for all, and its
+beam is doubled until a sample of the queries, compared with all nodes, has the wanted recall. In the end a beam
+holds every node that can be reached.
 """
 
 from __future__ import annotations
@@ -18,12 +23,14 @@ from stateloom.llm.shared import kept
 
 DEGREE = 24
 SAMPLE = 40  # neighbours, forward and reverse, that a node brings together in a round
-ROUNDS = 6
 STOP = 0.002  # share of edges that may still change
 TABLES = 8
 BUCKET = 512
 BEAM = 160  # nodes that a query keeps, and how many of them it opens in a step
 WIDE = 40
+DOORS = 32  # nodes from which every search begins
+PROBES = 64  # queries by which recall is measured
+RECALL = 0.95
 NEAR = "array<struct<d: double, n: long>>"
 NEAR_ARROW = pa.list_(pa.struct([("d", pa.float64()), ("n", pa.int64())]))
 
@@ -73,14 +80,16 @@ def planes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
 
 
 def bucketed(nodes: DataFrame, bits: int, dim: int, tables: int, seed: int, center: np.ndarray) -> DataFrame:
-    """(node, vec, buckets): the side of each random plane on which a vector lies, one bucket number per table."""
+    """(node, vec, buckets): the side of each random plane on which a vector lies, one bucket number per table, and a random one."""
 
     def side(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         normals = planes(dim, tables, bits, seed)
         for batch in batches:
             x = matrix(batch.column(1)) - center
-            codes = np.stack([((x @ normals[t].T > 0) @ (1 << np.arange(bits))) * tables + t for t in range(tables)], 1).astype(np.int64)
-            lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * tables, codes.ravel())
+            codes = [(x @ normals[t].T > 0) @ (1 << np.arange(bits)) for t in range(tables)]
+            codes.append(batch.column(0).to_numpy().view(np.uint64) >> np.uint64(16) & np.uint64((1 << bits) - 1))  # nodes are hashes
+            codes = np.stack([c.astype(np.int64) * (tables + 1) + t for t, c in enumerate(codes)], 1)
+            lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * (tables + 1), codes.ravel())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["node", "vec", "buckets"])
 
     return nodes.select("node", "vec").mapInArrow(side, "node long, vec array<double>, buckets array<long>")
@@ -158,11 +167,14 @@ def introduced(graph: DataFrame, circle: DataFrame, nodes: DataFrame, degree: in
     return groups.mapInArrow(meet, f"node long, near {NEAR}")
 
 
-def build_graph(nodes: DataFrame, sided: DataFrame, degree: int = DEGREE, sample: int = SAMPLE, rounds: int = ROUNDS, stop: float = STOP) -> DataFrame:
-    """(node, near) of every node that has another one, by NN-descent."""
+def build_graph(nodes: DataFrame, sided: DataFrame, degree: int = DEGREE, sample: int = SAMPLE, stop: float = STOP) -> DataFrame:
+    """(node, near) of every node, if there are two, by NN-descent until no more than a `stop` share of edges is fresh.
+
+    An edge that has been in a sample is fresh no more, and distances only fall, so that fresh edges run out.
+    """
     graph = kept(nearest_of(first_graph(sided, degree), degree).withColumn("old", F.array().cast("array<long>")), "graph")
     names = lambda near: F.transform(near, lambda e: e["n"])
-    for _ in range(rounds):
+    while True:
         circle = kept(around(graph, sample), "circles")
         lists = graph.select("node", "near").unionByName(introduced(graph, circle, nodes, degree))
         # an edge is old once it has been in a sample; until then it stays fresh
@@ -187,14 +199,13 @@ def both_ways(graph: DataFrame, most: int) -> DataFrame:
 
 
 def search(
-    queries: DataFrame, entries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = BEAM, wide: int = WIDE, most_steps: int = 30
+    queries: DataFrame, entries: DataFrame, links: DataFrame, nodes: DataFrame, beam: int = BEAM, wide: int = WIDE
 ) -> DataFrame:
     """(query, near) with the `beam` nearest nodes found: greedy search from `entries` (query, node).
 
     `queries` has query and vec. In every step each query opens its `wide` nearest nodes that are not open yet and
     measures their neighbours, all by joins; it ends when the nearest of no query lead anywhere new.
     """
-    links = kept(both_ways(graph, 2 * DEGREE), "graph-links")
 
     def measured(pairs: DataFrame) -> DataFrame:
         there = nodes.select(F.col("node").alias("n"), F.col("vec").alias("there"))
@@ -209,7 +220,7 @@ def search(
 
     first = measured(entries.select("query", F.col("node").alias("n")).distinct())
     state = kept(beams(first.withColumn("open", F.lit(False))), "search")
-    for _ in range(most_steps):
+    while True:  # a node is opened once, so this ends
         order = Window.partitionBy("query", "open").orderBy("place")
         turn = state.withColumn("turn", F.row_number().over(order)).withColumn("now", ~F.col("open") & (F.col("turn") <= wide))
         opened = turn.filter("now").select("query", F.col("n").alias("node"))
@@ -229,13 +240,59 @@ def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(d)], names=["query", "n", "d"])
 
 
+def exact_nearest(nodes: DataFrame, names: np.ndarray, x: np.ndarray, k: int) -> DataFrame:
+    """(query, d): distance of the k-th nearest other node of each probe, by comparing the probes with all nodes.
+
+    A task keeps k distances for each probe.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = np.full((len(x), k), np.inf)
+        for batch in batches:
+            others, y = batch.column(0).to_numpy(), matrix(batch.column(1))
+            for i in range(len(x)):
+                d = np.sqrt(((y - x[i]) ** 2).sum(1))
+                best[i] = np.sort(np.concatenate([best[i], d[others != names[i]]]))[:k]
+        at = np.isfinite(best)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, at.sum(1))), pa.array(best[at])], names=["query", "d"])
+
+    rows = nodes.select("node", "vec").mapInArrow(run, "query long, d double")
+    ranked = rows.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy("d"))).filter(F.col("place") <= k)
+    return ranked.groupBy("query").agg(F.max("d").alias("d"), F.count(F.lit(1)).alias("wanted"))
+
+
+def recall_of(found: DataFrame, bounds: DataFrame) -> float:
+    """Share of the probes' nearest nodes that a search has found; nodes at the same distance stand for each other."""
+    near = found.select("query", "n", F.col("d").alias("found")).join(bounds, "query").filter((F.col("n") != F.col("query")) & (F.col("found") <= F.col("d") * (1 + 1e-9)))
+    hits = near.groupBy("query", "wanted").agg(F.count(F.lit(1)).alias("hits")).agg(F.sum(F.least("hits", "wanted"))).first()[0]
+    wanted = bounds.agg(F.sum("wanted")).first()[0]
+    return (hits or 0) / wanted if wanted else 1.0
+
+
+def calibrated_search(queries: DataFrame, entries: DataFrame, graph: DataFrame, nodes: DataFrame, k: int, recall: float = RECALL) -> DataFrame:
+    """`search` with a beam that doubles until the probes' recall is as wanted, or the beam has room for all nodes."""
+    links, beam, wide, count = kept(both_ways(graph, 2 * DEGREE), "graph-links"), BEAM, WIDE, nodes.count()
+    probes = queries.orderBy(F.xxhash64("query", F.lit(1)), "query").limit(PROBES).collect()
+    if not probes:
+        return search(queries, entries, links, nodes)
+    names = np.array([p["query"] for p in probes], np.int64)
+    bounds = kept(exact_nearest(nodes, names, np.array([p["vec"] for p in probes], float), k), "probes")
+    while True:
+        found = search(queries, entries, links, nodes, beam, wide)
+        if beam >= count or recall_of(found, bounds) >= recall:
+            return found
+        # what was found is where the wider search begins
+        entries, beam, wide = found.select("query", F.col("n").alias("node")), 2 * beam, 2 * wide
+
+
 def nearest_neighbours(
     vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 10, degree: int = DEGREE, seed: int = 7
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the `k` nearest other rows found for each row where `is_query` (over `key`).
 
     Every usable row is in the index. Copies of a vector are at distance 0 of each other; a row repeated with its key
-    counts once. Fewer than `k` other rows give fewer results, an empty table none.
+    counts once. Fewer than `k` other rows give fewer results, an empty table none; else every query has `k`, since each
+    search has more than `k` nodes to begin with.
     """
     rows = kept(usable(vectors, key, vector).withColumn("node", F.xxhash64("vec")), "vectors")
     nodes = kept(as_nodes(rows, k + 1), "nodes")
@@ -253,7 +310,9 @@ def nearest_neighbours(
     doors = sided.select("node", F.explode("buckets").alias("bucket")).withColumn("place", F.row_number().over(order)).filter("place <= 4")
     sides = sided.select(F.col("node").alias("query"), F.explode("buckets").alias("bucket")).join(queries.select("query"), "query")
     entries = sides.join(doors, "bucket").select("query", "node").unionByName(queries.select("query", F.col("query").alias("node")))
-    found = search(queries, entries, graph, nodes)
+    everywhere = [r["node"] for r in nodes.select("node").orderBy(F.xxhash64("node", F.lit(2)), "node").limit(max(DOORS, k + 1)).collect()]
+    entries = entries.unionByName(queries.select("query", F.explode(F.array(*map(F.lit, everywhere))).alias("node")))
+    found = calibrated_search(queries, entries, graph, nodes, k)
     each = found.join(nodes.select(F.col("node").alias("n"), "keys"), "n").join(asked, "query")
     each = each.select("query_id", F.col("d").alias("score"), F.explode("keys").alias("vec_id")).filter("vec_id <> query_id")
     ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id")))

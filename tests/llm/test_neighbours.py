@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from stateloom.llm import neighbours
 from stateloom.llm.neighbours import nearest_neighbours
 
 ROWS = "vec_id long, embedding array<float>, node string"
@@ -47,3 +49,36 @@ def test_few_rows_and_none(spark):
     assert rows == [(0, 1, 5, 0.0), (0, 2, 20, 1.0), (20, 1, 0, 1.0), (20, 2, 5, 1.0)]
     assert nearest_neighbours(frame.limit(1), F.col("key") % 20 == 0).count() == 0
     assert nearest_neighbours(frame.limit(0), F.col("key") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("far", [100.0, 1e5])
+def test_a_small_far_group_gets_all_its_rows(spark, far):
+    rng = np.random.default_rng(4)
+    rows = [(k, [float(np.float32(v)) for v in rng.standard_normal(16)]) for k in range(595)]
+    rows += [(600 + 20 * k, [float(np.float32(far + v)) for v in rng.standard_normal(16)]) for k in range(5)]
+    frame = spark.createDataFrame([(*r, "n") for r in rows], ROWS)
+    got: dict = {}
+    for r in nearest_neighbours(frame, F.col("key") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    want = exact(rows)
+    assert set(got) == set(want) and all(len(v) == 10 for v in got.values())
+    hits = sum(len({i for _, i in want[q]} & set(got[q])) for q in want)
+    assert hits >= 0.95 * 10 * len(want)
+    for k in range(5):
+        assert set(got[600 + 20 * k][:4]) == {600 + 20 * j for j in range(5)} - {600 + 20 * k}
+
+
+def test_the_beam_grows_until_recall_is_as_wanted(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(k, [float(np.float32(v)) for v in rng.standard_normal(16)]) for k in range(1500)]
+    frame = spark.createDataFrame([(*r, "n") for r in rows], ROWS)
+    monkeypatch.setattr(neighbours, "BEAM", 11)
+    monkeypatch.setattr(neighbours, "WIDE", 1)
+    asked, seen = neighbours.search, []
+    monkeypatch.setattr(neighbours, "search", lambda *a: seen.append(a[4]) or asked(*a))
+    got: dict = {}
+    for r in nearest_neighbours(frame, F.col("key") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = exact(rows)
+    hits = sum(len({i for _, i in want[q]} & got[q]) for q in want)
+    assert hits >= 0.93 * 10 * len(want) and seen == [11 << i for i in range(len(seen))]
