@@ -198,13 +198,12 @@ def both_ways(graph: DataFrame, most: int) -> DataFrame:
     return ranked.groupBy("node").agg(F.collect_list("n").alias("links"))
 
 
-def search(
-    queries: DataFrame, entries: DataFrame, links: DataFrame, nodes: DataFrame, beam: int = BEAM, wide: int = WIDE
-) -> DataFrame:
-    """(query, near) with the `beam` nearest nodes found: greedy search from `entries` (query, node).
+def search(queries: DataFrame, state: DataFrame, links: DataFrame, nodes: DataFrame, beam: int = BEAM, wide: int = WIDE) -> DataFrame:
+    """(query, n, d, open): the nearest nodes found, twice `beam` of them, by greedy search from `state` (query, n, open).
 
-    `queries` has query and vec. In every step each query opens its `wide` nearest nodes that are not open yet and
-    measures their neighbours, all by joins; it ends when the nearest of no query lead anywhere new.
+    `queries` has query and vec. In every step each query opens the `wide` nearest of its `beam` nearest nodes that are not
+    open yet and measures their neighbours, all by joins; it ends when the nearest of no query lead anywhere new. What
+    lies beyond the beam is kept for a wider one.
     """
 
     def measured(pairs: DataFrame) -> DataFrame:
@@ -216,21 +215,21 @@ def search(
         """Nearest first; a node that is met again keeps its mark."""
         seen = rows.groupBy("query", "n").agg(F.min("d").alias("d"), F.max("open").alias("open"))
         order = Window.partitionBy("query").orderBy("d", "n")
-        return seen.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= beam)
+        return seen.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= 2 * beam)
 
-    first = measured(entries.select("query", F.col("node").alias("n")).distinct())
-    state = kept(beams(first.withColumn("open", F.lit(False))), "search")
+    if "d" not in state.columns:
+        state = kept(beams(measured(state.select("query", "n").distinct()).withColumn("open", F.lit(False))), "search")
     while True:  # a node is opened once, so this ends
-        order = Window.partitionBy("query", "open").orderBy("place")
-        turn = state.withColumn("turn", F.row_number().over(order)).withColumn("now", ~F.col("open") & (F.col("turn") <= wide))
+        near = F.when(~F.col("open") & (F.col("place") <= beam), F.col("place"))
+        turn = state.withColumn("turn", F.when(near.isNotNull(), F.row_number().over(Window.partitionBy("query").orderBy(near.asc_nulls_last()))))
+        turn = turn.withColumn("now", F.coalesce(F.col("turn") <= wide, F.lit(False)))
         opened = turn.filter("now").select("query", F.col("n").alias("node"))
         if opened.isEmpty():
-            break
+            return state.select("query", "n", "d", "open", "place")
         reached = opened.join(links, "node").select("query", F.explode("links").alias("n")).distinct()
         unseen = reached.join(state.select("query", "n"), ["query", "n"], "left_anti")
         marked = turn.select("query", "n", "d", (F.col("open") | F.col("now")).alias("open"))
         state = kept(beams(marked.unionByName(measured(unseen).withColumn("open", F.lit(False)))), "search")
-    return state.select("query", "n", "d")
 
 
 def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,18 +270,17 @@ def recall_of(found: DataFrame, bounds: DataFrame) -> float:
 
 def calibrated_search(queries: DataFrame, entries: DataFrame, graph: DataFrame, nodes: DataFrame, k: int, recall: float = RECALL) -> DataFrame:
     """`search` with a beam that doubles until the probes' recall is as wanted, or the beam has room for all nodes."""
-    links, beam, wide, count = kept(both_ways(graph, 2 * DEGREE), "graph-links"), BEAM, WIDE, nodes.count()
+    links, beam, count = kept(both_ways(graph, 2 * DEGREE), "graph-links"), BEAM, nodes.count()
     probes = queries.orderBy(F.xxhash64("query", F.lit(1)), "query").limit(PROBES).collect()
+    found = search(queries, entries, links, nodes, beam)
     if not probes:
-        return search(queries, entries, links, nodes)
+        return found
     names = np.array([p["query"] for p in probes], np.int64)
     bounds = kept(exact_nearest(nodes, names, np.array([p["vec"] for p in probes], float), k), "probes")
-    while True:
-        found = search(queries, entries, links, nodes, beam, wide)
-        if beam >= count or recall_of(found, bounds) >= recall:
-            return found
-        # what was found is where the wider search begins
-        entries, beam, wide = found.select("query", F.col("n").alias("node")), 2 * beam, 2 * wide
+    while beam < count and recall_of(found, bounds) < recall:
+        beam *= 2  # goes on from what was found and opened
+        found = search(queries, found, links, nodes, beam)
+    return found
 
 
 def nearest_neighbours(
@@ -309,9 +307,9 @@ def nearest_neighbours(
     order = Window.partitionBy("bucket").orderBy(F.xxhash64("node"))
     doors = sided.select("node", F.explode("buckets").alias("bucket")).withColumn("place", F.row_number().over(order)).filter("place <= 4")
     sides = sided.select(F.col("node").alias("query"), F.explode("buckets").alias("bucket")).join(queries.select("query"), "query")
-    entries = sides.join(doors, "bucket").select("query", "node").unionByName(queries.select("query", F.col("query").alias("node")))
+    entries = sides.join(doors, "bucket").select("query", F.col("node").alias("n")).unionByName(queries.select("query", F.col("query").alias("n")))
     everywhere = [r["node"] for r in nodes.select("node").orderBy(F.xxhash64("node", F.lit(2)), "node").limit(max(DOORS, k + 1)).collect()]
-    entries = entries.unionByName(queries.select("query", F.explode(F.array(*map(F.lit, everywhere))).alias("node")))
+    entries = entries.unionByName(queries.select("query", F.explode(F.array(*map(F.lit, everywhere))).alias("n")))
     found = calibrated_search(queries, entries, graph, nodes, k)
     each = found.join(nodes.select(F.col("node").alias("n"), "keys"), "n").join(asked, "query")
     each = each.select("query_id", F.col("d").alias("score"), F.explode("keys").alias("vec_id")).filter("vec_id <> query_id")
