@@ -47,6 +47,14 @@ def ingest(
     attempt of its own, so that a run id may be used again.
     """
     found = with_digests(statement_files(spark, root, any_case))
+    return ingest_files(spark, warehouse, found, run_ts, run_id, as_of, mode)
+
+
+def ingest_files(
+    spark: SparkSession, warehouse: Warehouse, found: DataFrame, run_ts: dt.datetime, run_id: str, as_of: dt.datetime | None = None,
+    mode: str = "FAILFAST",
+) -> dict[str, int]:
+    """`ingest` for files that were found, placed and read for their digests by other means."""
     # Hashing reads every byte of the inbox, so its outcome is kept rather than recomputed below.
     classified = checkpoint(classify(found, warehouse.ledger_rows(), as_of))
     counts = ingest_summary(classified).first()

@@ -49,7 +49,11 @@ def statement_files(spark: SparkSession, root: str, any_case: bool = False) -> D
 
     Only `.csv` in lower case counts unless `any_case`.
     """
-    found = find_files(spark, f"{root.rstrip('/')}/{INBOX_PATH}", "*.[cC][sS][vV]" if any_case else "*.csv")
+    return placed(find_files(spark, f"{root.rstrip('/')}/{INBOX_PATH}", "*.[cC][sS][vV]" if any_case else "*.csv"), root).withColumnRenamed("length", "size")
+
+
+def placed(found: DataFrame, root: str) -> DataFrame:
+    """Files below the inbox with bank, table, name and path below the root; files right in a bank's folder are none."""
     depth = INBOX_PATH.count("/") + 1
     parts = F.split("src_path", "/")
     return (
@@ -58,7 +62,6 @@ def statement_files(spark: SparkSession, root: str, any_case: bool = False) -> D
         .withColumn("bank", F.get(parts, F.lit(depth)))
         .withColumn("table_name", normalize_identifier(F.concat_ws("_", "bank", F.get(parts, F.lit(depth + 1)))))
         .withColumn("file_name", F.element_at(parts, -1))
-        .withColumnRenamed("length", "size")
     )
 
 

@@ -1,7 +1,8 @@
 """Incremental file ingest with Structured Streaming.
 
 The file source tells files apart by path alone, so a file whose bytes change under a known path
-is not read again; the batch ingest with its (path, md5) ledger is the one that does that.
+is not read again; the batch ingest with its (path, md5) ledger does that, and so does the stream of
+`changes.py`.
 """
 
 from __future__ import annotations
