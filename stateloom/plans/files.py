@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from stateloom.operators.mapping import run_stamp
 from stateloom.plans.feed import RUN_TS, table
+from stateloom.quality.running import RunningProfile
 from stateloom.session import shared_folder
 from stateloom.sinks.latest import LatestCopy
 from stateloom.sinks.outbox import Outbox
+from stateloom.sinks.tables import TableStore
 from stateloom.sources.dialects import Dialect
 from stateloom.sources.files import find_files, with_digests
 from stateloom.sources.headers import column_names
@@ -68,3 +70,18 @@ def outbox_second_batch(spark, sf):
     outbox.stage(due(events, changed, 1), "second")
     rows = outbox.staged().join(before, "batch", "left_anti")
     return rows.select(F.col("row_key").cast("bigint").alias("event_id"), F.col("cells")[0].alias("event_type"), F.col("cells")[1].alias("user_text"))
+
+
+def running_profile(spark, sf):
+    """Profile of an event table that was written in two runs; the second one measures what it has written only."""
+    folder = shared_folder(spark, "profile")
+    events, day = TableStore(spark, f"{folder}/events", "cast(cast(ts as date) as string)"), F.dayofmonth("ts")
+    profile = RunningProfile(events, TableStore(spark, f"{folder}/state"), ["event_type", "value", "ts"], keys=["event_id"])
+    rows = table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    events.upsert(rows.filter(day % 3 != 0), "event_id", "first")
+    profile.refresh("first")
+    events.upsert(rows.filter(day % 3 != 1), "event_id", "second")  # some days again, some for the first time
+    merged = profile.refresh("second")
+    rounded = [F.round(c, 6).alias(c) for c in ("avg_value", "value_stddev")]
+    same = ["total_rows", "unique_event_id", *[f"{c}_complete" for c in ("event_type", "value", "ts")], "min_event_type", "max_event_type", "min_value", "max_value", "min_ts", "max_ts"]
+    return merged.select(*same, *rounded)

@@ -382,4 +382,10 @@ from orders""",
     "outbox_second_batch": """
 select event_id, case when event_id % 7 = 0 then upper(event_type) else event_type end as event_type, cast(user_id as varchar) as user_text
 from events where event_id % 2 <> 0 or event_id % 7 = 0""",
+    "running_profile": """
+select count(*) as total_rows, count(distinct event_id) as unique_event_id, count(event_type) as event_type_complete,
+  count(value) as value_complete, count(ts) as ts_complete, min(event_type) as min_event_type, max(event_type) as max_event_type,
+  min(value) as min_value, max(value) as max_value, min(ts) as min_ts, max(ts) as max_ts,
+  round(avg(value), 6) as avg_value, round(stddev(value), 6) as value_stddev
+from events""",
 }

@@ -25,7 +25,7 @@ from stateloom.plans.bank import Bank
 from stateloom.plans.feed import (
     RUN_TS, core_feed, feed, mart_feed, raw_feed, staged_feed, table, view_feed,
 )
-from stateloom.plans.files import dialect_files, latest_copy, outbox_second_batch
+from stateloom.plans.files import dialect_files, latest_copy, outbox_second_batch, running_profile
 from stateloom.quality.checks import (
     between, column_exists, duplicate_keys, in_set, not_null, null_counts, rejected_values, row_rule, run_checks, unique,
 )
@@ -471,4 +471,5 @@ QUERIES: dict[str, Query] = {
     "dialect_files": dialect_files,
     "latest_copy": latest_copy,
     "outbox_second_batch": outbox_second_batch,
+    "running_profile": running_profile,
 }
