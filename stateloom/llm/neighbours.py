@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stateloom.llm.shared import kept
+from stateloom.llm.shared import Scratch, passing, settled
 
 DEGREE = 24
 SAMPLE = 40  # neighbours, forward and reverse, that a node brings together in a round
@@ -172,17 +172,21 @@ def build_graph(nodes: DataFrame, sided: DataFrame, degree: int = DEGREE, sample
 
     An edge that has been in a sample is fresh no more, and distances only fall, so that fresh edges run out.
     """
-    graph = kept(nearest_of(first_graph(sided, degree), degree).withColumn("old", F.array().cast("array<long>")), "graph")
+    table = passing(nearest_of(first_graph(sided, degree), degree).withColumn("old", F.array().cast("array<long>")), "graph")
     names = lambda near: F.transform(near, lambda e: e["n"])
     while True:
-        circle = kept(around(graph, sample), "circles")
+        graph, circles = table.rows, passing(around(table.rows, sample), "circles")
+        circle = circles.rows
         lists = graph.select("node", "near").unionByName(introduced(graph, circle, nodes, degree))
         # an edge is old once it has been in a sample; until then it stays fresh
         before = circle.groupBy(F.col("center").alias("node")).agg(F.collect_list("member").alias("met"))
         before = graph.select("node", "old").join(before, "node", "left").select("node", F.array_union("old", F.coalesce("met", "old")).alias("old"))
         new = nearest_of(lists, degree).join(before, "node", "left")
         met = F.array_intersect(names("near"), F.coalesce("old", F.array().cast("array<long>")))
-        graph = kept(new.select("node", "near", met.alias("old")), "graph")
+        done, table = (table, circles), passing(new.select("node", "near", met.alias("old")), "graph")
+        graph = table.rows
+        for old in done:
+            old.drop()
         fresh = graph.agg(F.sum(F.size(F.array_except(names("near"), "old"))), F.sum(F.size("near"))).first()
         if not fresh[1] or fresh[0] <= stop * fresh[1]:
             break
@@ -217,8 +221,10 @@ def search(queries: DataFrame, state: DataFrame, links: DataFrame, nodes: DataFr
         order = Window.partitionBy("query").orderBy("d", "n")
         return seen.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= 2 * beam)
 
+    table: Scratch | None = None
     if "d" not in state.columns:
-        state = kept(beams(measured(state.select("query", "n").distinct()).withColumn("open", F.lit(False))), "search")
+        table = passing(beams(measured(state.select("query", "n").distinct()).withColumn("open", F.lit(False))), "search")
+        state = table.rows
     while True:  # a node is opened once, so this ends
         near = F.when(~F.col("open") & (F.col("place") <= beam), F.col("place"))
         turn = state.withColumn("turn", F.when(near.isNotNull(), F.row_number().over(Window.partitionBy("query").orderBy(near.asc_nulls_last()))))
@@ -229,7 +235,10 @@ def search(queries: DataFrame, state: DataFrame, links: DataFrame, nodes: DataFr
         reached = opened.join(links, "node").select("query", F.explode("links").alias("n")).distinct()
         unseen = reached.join(state.select("query", "n"), ["query", "n"], "left_anti")
         marked = turn.select("query", "n", "d", (F.col("open") | F.col("now")).alias("open"))
-        state = kept(beams(marked.unionByName(measured(unseen).withColumn("open", F.lit(False)))), "search")
+        done, table = table, passing(beams(marked.unionByName(measured(unseen).withColumn("open", F.lit(False)))), "search")
+        state = table.rows
+        if done is not None:
+            done.drop()
 
 
 def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,13 +279,13 @@ def recall_of(found: DataFrame, bounds: DataFrame) -> float:
 
 def calibrated_search(queries: DataFrame, entries: DataFrame, graph: DataFrame, nodes: DataFrame, k: int, recall: float = RECALL) -> DataFrame:
     """`search` with a beam that doubles until the probes' recall is as wanted, or the beam has room for all nodes."""
-    links, beam, count = kept(both_ways(graph, 2 * DEGREE), "graph-links"), BEAM, nodes.count()
+    links, beam, count = settled(both_ways(graph, 2 * DEGREE), "graph-links"), BEAM, nodes.count()
     probes = queries.orderBy(F.xxhash64("query", F.lit(1)), "query").limit(PROBES).collect()
     found = search(queries, entries, links, nodes, beam)
     if not probes:
         return found
     names = np.array([p["query"] for p in probes], np.int64)
-    bounds = kept(exact_nearest(nodes, names, np.array([p["vec"] for p in probes], float), k), "probes")
+    bounds = settled(exact_nearest(nodes, names, np.array([p["vec"] for p in probes], float), k), "probes")
     while beam < count and recall_of(found, bounds) < recall:
         beam *= 2  # goes on from what was found and opened
         found = search(queries, found, links, nodes, beam)
@@ -292,18 +301,18 @@ def nearest_neighbours(
     counts once. Fewer than `k` other rows give fewer results, an empty table none; else every query has `k`, since each
     search has more than `k` nodes to begin with.
     """
-    rows = kept(usable(vectors, key, vector).withColumn("node", F.xxhash64("vec")), "vectors")
-    nodes = kept(as_nodes(rows, k + 1), "nodes")
+    rows = settled(usable(vectors, key, vector).withColumn("node", F.xxhash64("vec")), "vectors")
+    nodes = settled(as_nodes(rows, k + 1), "nodes")
     asked = rows.filter(is_query).select(F.col("key").alias("query_id"), F.col("node").alias("query")).distinct()
     head = nodes.select(F.size("vec").alias("dim")).first()
     if head is None:
         return asked.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     count, dim = nodes.count(), head["dim"]
     bits = max(0, int(np.ceil(np.log2(max(1, count / BUCKET)))))
-    sided = kept(bucketed(nodes, bits, dim, TABLES, seed, mean_vector(nodes, dim)), "sides")
+    sided = settled(bucketed(nodes, bits, dim, TABLES, seed, mean_vector(nodes, dim)), "sides")
     graph = build_graph(nodes, sided, degree)
     # queries of one vector are one search, which begins at the vector itself and at a few nodes of its buckets
-    queries = kept(asked.select("query").distinct().join(nodes.select(F.col("node").alias("query"), "vec"), "query"), "queries")
+    queries = settled(asked.select("query").distinct().join(nodes.select(F.col("node").alias("query"), "vec"), "query"), "queries")
     order = Window.partitionBy("bucket").orderBy(F.xxhash64("node"))
     doors = sided.select("node", F.explode("buckets").alias("bucket")).withColumn("place", F.row_number().over(order)).filter("place <= 4")
     sides = sided.select(F.col("node").alias("query"), F.explode("buckets").alias("bucket")).join(queries.select("query"), "query")
