@@ -36,8 +36,8 @@ def build(
     """Bring staging, core and mart up to date; failed warnings per layer are returned.
 
     A failed error check stops the run before the next layer. Where the version a run started from
-    has passed its checks, only the partitions the run has written are checked: equal keys share a
-    partition, so nothing else can have changed the outcome. `check_all` checks whole tables and
+    has passed its checks, only the partitions the run has written are checked: in core and mart equal keys share a
+    partition, and staging is searched for the keys that were added, so nothing else can have changed the outcome. `check_all` checks whole tables and
     reports their warnings; use it after changing the checks. An amount that does not convert stops the
     build; with `set_aside` its row goes to the quarantine table instead.
     """
@@ -58,7 +58,9 @@ def build(
 
     def checked(layer: str) -> None:
         rows = stores[layer].read_written(run_id) if sound[layer] else stores[layer].read()
-        warnings[layer] = enforce(rows, bank.checks[layer], layer)
+        # staging is not partitioned by its key: the keys of what was added are looked up in the rest
+        others = staging.read_others(run_id) if layer == "staging" and sound[layer] else None
+        warnings[layer] = enforce(rows, bank.checks[layer], layer, others)
 
     stored = None if full_refresh else staging.read_or_none()
     if stored is not None:

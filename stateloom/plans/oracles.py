@@ -382,6 +382,11 @@ from orders""",
     "outbox_second_batch": """
 select event_id, case when event_id % 7 = 0 then upper(event_type) else event_type end as event_type, cast(user_id as varchar) as user_text
 from events where event_id % 2 <> 0 or event_id % 7 = 0""",
+    "dq_unique_added": """
+select l_orderkey, count(*) filter (where not coalesce(l_shipdate >= timestamp '1998-01-01', false)) as n_stored,
+  count(*) filter (where l_shipdate >= timestamp '1998-01-01') as n_added
+from lineitem where l_orderkey is not null
+group by l_orderkey having count(*) > 1 and count(*) filter (where l_shipdate >= timestamp '1998-01-01') > 0""",
     "running_profile": """
 select count(*) as total_rows, count(distinct event_id) as unique_event_id, count(event_type) as event_type_complete,
   count(value) as value_complete, count(ts) as ts_complete, min(event_type) as min_event_type, max(event_type) as max_event_type,

@@ -31,6 +31,7 @@ from stateloom.quality.checks import (
 )
 from stateloom.quality.profile import completeness, export_counts, metrics, uniqueness, value_ranges
 from stateloom.quality.quarantine import with_problems
+from stateloom.quality.uniqueness import added_duplicates
 from stateloom.sources.files import classify, ingest_summary
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -367,6 +368,14 @@ def dq_unique(spark, sf):
     return duplicate_keys(table(spark, sf, "lineitem"), "l_orderkey")
 
 
+def dq_unique_added(spark, sf):
+    """Orders whose lines shipped since 1998 meet other lines of theirs: the older lines are the stored ones."""
+    lines = table(spark, sf, "lineitem")
+    since = F.lit("1998-01-01").cast("timestamp_ntz")
+    older = ~F.coalesce(F.col("l_shipdate") >= since, F.lit(False))
+    return added_duplicates(lines.filter(~older), lines.filter(older), "l_orderkey")
+
+
 def dq_accepted_values(spark, sf):
     return rejected_values(table(spark, sf, "events"), "event_type", EVENT_TYPES)
 
@@ -463,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "export_contract_counts": export_contract_counts,
     "dq_not_null": dq_not_null,
     "dq_unique": dq_unique,
+    "dq_unique_added": dq_unique_added,
     "dq_accepted_values": dq_accepted_values,
     "dq_expectations": dq_expectations,
     "dq_row_rules": dq_row_rules,

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stateloom.functions.keys import quoted
+from stateloom.quality.uniqueness import failures_after
 
 REPORT_COLUMNS = ("check_name", "column_name", "severity", "failures", "passed")
 
@@ -78,10 +79,11 @@ def row_rule(name: str, rule: str, severity: str = "error") -> Check:
     return Check("rule", name, severity, rule=rule)
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def run_checks(df: DataFrame, checks: Sequence[Check], stored: DataFrame | None = None) -> DataFrame:
     """One row per check: name, column, severity, failures, passed.
 
-    `failures` counts rows for row-wise checks, keys for unique, and is 0 or 1 for exists.
+    `failures` counts rows for row-wise checks, keys for unique, and is 0 or 1 for exists. With `stored`, `df` is
+    what has been added to it: unique counts the keys that the added rows have made duplicates.
     """
     present = set(df.columns)
     reports: list[DataFrame] = []
@@ -97,7 +99,10 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         reports.append(df.agg(F.array(*entries).alias("entries")).select(F.inline("entries")))
     for check in checks:
         if check.kind == "unique":
-            counted = duplicate_keys(df, check.column).agg(F.count(F.lit(1)).alias("failures"))
+            if stored is None:
+                counted = duplicate_keys(df, check.column).agg(F.count(F.lit(1)).alias("failures"))
+            else:
+                counted = failures_after(df, stored, check.column)
             reports.append(counted.select(F.array(_entry(check, F.col("failures"))).alias("entries")).select(F.inline("entries")))
     if not reports:
         raise ValueError("no checks")

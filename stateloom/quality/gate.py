@@ -20,12 +20,12 @@ class ContractError(RuntimeError):
     """A table's names or types differ from its contract."""
 
 
-def enforce(df: DataFrame, checks: Sequence[Check], table: str) -> list[dict]:
-    """Run the checks; raise on failed errors, return the failed warnings.
+def enforce(df: DataFrame, checks: Sequence[Check], table: str, stored: DataFrame | None = None) -> list[dict]:
+    """Run the checks; raise on failed errors, return the failed warnings. `stored` as in `run_checks`.
 
     The report has one row per declared check, which is all that reaches the driver.
     """
-    failed = [row.asDict() for row in run_checks(df, checks).filter(~F.col("passed")).collect()]
+    failed = [row.asDict() for row in run_checks(df, checks, stored).filter(~F.col("passed")).collect()]
     errors = [f for f in failed if f["severity"] == "error"]
     if errors:
         listed = ", ".join(f"{e['check_name']}({e['column_name']}): {e['failures']}" for e in errors)

@@ -96,6 +96,13 @@ class TableStore:
             raise FileNotFoundError(f"no table at {self.path}")
         return self._frame(commit.schema, [d for _, d in commit.dirs if d.startswith(f"data/{run_id}/")])
 
+    def read_others(self, run_id: str) -> DataFrame:
+        """What the current commit holds besides the directories of one run."""
+        commit = self.current()
+        if commit is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return self._frame(commit.schema, [d for _, d in commit.dirs if not d.startswith(f"data/{run_id}/")])
+
     def _frame(self, schema: T.StructType, dirs: list[str]) -> DataFrame:
         if not dirs:
             return self.spark.createDataFrame([], schema)
