@@ -50,6 +50,9 @@ class Warehouse:
     def mart(self, source: str) -> TableStore:
         return self._store(f"mart/{source}_transactions", MONTH)
 
+    def replays(self, source: str) -> TableStore:
+        return self._store(f"meta/{source}_replays")
+
     def ledger_rows(self) -> DataFrame:
         rows = self.ledger().read_or_none()
         return rows if rows is not None else self.spark.createDataFrame([], LEDGER_SCHEMA)
