@@ -3,7 +3,7 @@
 Found values are validated, then permuted inside their own format by a keyed Feistel network over digits
 or days. The permutation depends on the key and the kind alone, so equal values get equal pseudonyms in
 every document and stay linked, and whoever has the key can invert it. Check digits are computed
-anew, so a pseudonym validates like the value it replaces.
+anew, so a pseudonym validates like the value it replaces. Plans name the key's place, not the key.
 """
 
 from __future__ import annotations
@@ -13,16 +13,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stateloom.llm.shared import free_name
+
 ROUNDS = 8
 
 
-def keyed(key: str, kind: str, i: Column, value: Column, modulus: Column) -> Column:
+def keyed(key: str | Column, kind: str, i: Column, value: Column, modulus: Column) -> Column:
     """The round function: 60 bits of a keyed digest, reduced."""
     digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), i.cast("string"), value.cast("string")), 256)
     return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), modulus)
 
 
-def permuted(key: str, kind: str, left: Column, right: Column, left_size: Column, right_size: Column) -> Column:
+def permuted(key: str | Column, kind: str, left: Column, right: Column, left_size: Column, right_size: Column) -> Column:
     """A keyed permutation of the pairs (left, right), left below left_size and right below right_size."""
 
     def one_round(pair: Column, i: Column) -> Column:
@@ -41,7 +43,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def permuted_text(key: str, kind: str, text: Column) -> Column:
+def permuted_text(key: str | Column, kind: str, text: Column) -> Column:
     """A keyed permutation of the texts of one format: digits, lower and upper case letters stay such, the rest stays."""
 
     def shifted(chars: Column, other: Column, i: Column) -> Column:
@@ -98,13 +100,13 @@ def refilled(text: Column, inner: Column, signs: str = "[0-9]") -> Column:
 # -- kinds: each takes a found text and gives its pseudonym, or the text itself where it does not validate
 
 
-def email(key: str, text: Column) -> Column:
+def email(key: str | Column, text: Column) -> Column:
     """The local part is permuted, the domain stays."""
     name = F.substring_index(text, "@", 1)
     return F.concat(permuted_text(key, "email", name), F.substring(text, F.length(name) + 1, F.length(text)))
 
 
-def card(key: str, text: Column) -> Column:
+def card(key: str | Column, text: Column) -> Column:
     """A number with a valid Luhn digit; the issuer's first digit stays."""
 
     def new(digits: Column) -> Column:
@@ -115,14 +117,22 @@ def card(key: str, text: Column) -> Column:
     return let(F.regexp_replace(text, "[^0-9]", ""), new)
 
 
-def phone(key: str, text: Column) -> Column:
-    """An international number of 8 to 15 digits; its first digit, the zone of the country code, stays."""
+# Country codes of one and two digits; all others have three.
+SHORT_CODES = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
+COUNTRY = rf"^\+(?:{SHORT_CODES.replace(' ', '|')}|[0-9]{{1,3}})(?:[ -]?\(0\))?"
 
-    def new(digits: Column) -> Column:
-        moved = F.concat(F.substring(digits, 1, 1), permuted_text(key, "phone", F.substring(digits, F.lit(2), F.length(digits))))
-        return F.when(F.length(digits).between(8, 15), refilled(text, moved)).otherwise(text)
 
-    return let(F.regexp_replace(text, "[^0-9]", ""), new)
+def phone(key: str | Column, text: Column) -> Column:
+    """An international number of 8 to 15 digits; its country code stays, and a (0) behind it."""
+
+    def new(parts: Column) -> Column:
+        code, rest = F.element_at(parts, 1), F.element_at(parts, 2)
+        moved = permuted_text(key, "phone", F.regexp_replace(rest, "[^0-9]", ""))
+        return F.concat(code, refilled(rest, moved))
+
+    code = F.regexp_extract(text, COUNTRY, 0)
+    parts = let(code, lambda c: F.array(c, F.substring(text, F.length(c) + 1, F.length(text))))
+    return F.when(F.length(F.regexp_replace(text, "[^0-9]", "")).between(8, 15), let(parts, new)).otherwise(text)
 
 
 # How long the account numbers of a country are.
@@ -152,7 +162,7 @@ def iban_in(text: Column) -> Column:
     return let(F.split(text, " "), chosen)
 
 
-def iban(key: str, text: Column) -> Column:
+def iban(key: str | Column, text: Column) -> Column:
     """An account number that leaves 1 by 97; the country stays, the check digits follow from the rest."""
 
     def new(bare: Column) -> Column:
@@ -165,7 +175,7 @@ def iban(key: str, text: Column) -> Column:
     return let(F.replace(text, F.lit(" ")), new)
 
 
-def social_security(key: str, text: Column) -> Column:
+def social_security(key: str | Column, text: Column) -> Column:
     """Area 001 to 665 or 667 to 899, group and serial not zero: permuted among all of these of the same run of areas."""
 
     def new(p: Column) -> Column:
@@ -183,7 +193,7 @@ def social_security(key: str, text: Column) -> Column:
     return let(F.split(text, "-"), new)
 
 
-def ip_address(key: str, text: Column) -> Column:
+def ip_address(key: str | Column, text: Column) -> Column:
     """Four numbers up to 255: permuted among all addresses."""
 
     def new(p: Column) -> Column:
@@ -201,7 +211,7 @@ def ip_address(key: str, text: Column) -> Column:
 CENTURIES = (("1900-01-01", 92, 397), ("2000-01-01", 75, 487))
 
 
-def moved_day(key: str, day: Column) -> Column:
+def moved_day(key: str | Column, day: Column) -> Column:
     """A permutation of the days of the 20th century, and one of those of the 21st; other days stay."""
 
     def within(first: str, left: int, right: int) -> Column:
@@ -213,7 +223,7 @@ def moved_day(key: str, day: Column) -> Column:
     return F.when(F.year(day).between(1900, 1999), within(first, *a)).when(F.year(day).between(2000, 2099), within(second, *b)).otherwise(day)
 
 
-def date(key: str, text: Column) -> Column:
+def date(key: str | Column, text: Column) -> Column:
     """A date that exists, as 2001-12-31, 31.12.2001, 31/12/2001 or 12/31/2001 (day first where both fit)."""
     tried = F.array(*[
         F.struct(F.try_to_date(text, form).alias("day"), F.lit(form).alias("form"))
@@ -262,23 +272,24 @@ def phone_pattern() -> str:
     value = rf" (?:{IP}{end}|{DATE}{end}|{SSN}(?![0-9A-Za-z-]))"
     further = rf"{digits_before(10)} (?:(?:19|20)[0-9]{{2}}|[0-9]{{5,}})(?![0-9A-Za-z])|{digits_before(8)} [0-9]{{7,}}| {CARD}(?![0-9A-Za-z])"
     between = r"(?:\)[ -]?|[ -]?\(|[ .-])"
+    word = r"(?:[0-9A-WYZa-wyz]|[xX](?![0-9]{1,6}(?![0-9A-Za-z])))"  # what must not follow: anything but an extension, x12
     planned = "|".join(
-        rf"(?:{codes.replace(' ', '|')})(?:[ -]?\(0\))?{between}?[0-9](?:(?:(?!{value}){between})?[0-9]){{{least - 1},{most - 1}}}(?![0-9A-Za-z])"
+        rf"(?:{codes.replace(' ', '|')})(?:[ -]?\(0\))?{between}?[0-9](?:(?:(?!{value}){between})?[0-9]){{{least - 1},{most - 1}}}(?!{word})"
         for (least, most), codes in PHONE_DIGITS.items()
     )
     start = r"[0-9]{1,3}[ -]?(?:\([0-9]{1,4}\)[ -]?)?[0-9]{2,4}"
-    bounded = rf"{start}(?:(?!{value}|{further})[ .-]?[0-9]{{2,4}}){{1,4}}(?![0-9A-Za-z]){digits_before(8)}"
-    grouped = rf"{start}(?:[ .-]?[0-9]{{2,4}}){{1,4}}(?![0-9A-Za-z]|[./-][0-9]){digits_before(8)}"
+    bounded = rf"{start}(?:(?!{value}|{further})[ .-]?[0-9]{{2,4}}){{1,4}}(?!{word}){digits_before(8)}"
+    grouped = rf"{start}(?:[ .-]?[0-9]{{2,4}}){{1,4}}(?!{word}|[./-][0-9]){digits_before(8)}"
     return rf"(?<![0-9A-Za-z+])\+(?:{planned}|{bounded}|{grouped})"
 
 
 # The kinds in the order in which they are tried, and what each looks like. A match begins
 # and ends at a word's edge, and every repetition is bounded, so that long runs cost no more than their length.
-KINDS: dict[str, tuple[str, Callable[[str, Column], Column]]] = {
+KINDS: dict[str, tuple[str, Callable[[str | Column, Column], Column]]] = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}", email),
     "phone": (phone_pattern(), phone),
     "ip": (rf"(?<![0-9A-Za-z.]){IP}(?![0-9A-Za-z]|\.[0-9])", ip_address),
-    "date": (rf"(?<![0-9A-Za-z./-]){DATE}(?![0-9A-Za-z]|[./-][0-9])", date),
+    "date": (rf"(?<![0-9A-Za-z./-]){DATE}(?![0-9A-SU-Za-z]|T(?![0-9]{{2}}:[0-9]{{2}})|[./-][0-9])", date),
     "ssn": (rf"(?<![0-9A-Za-z-]){SSN}(?![0-9A-Za-z-])", social_security),
     "card": (rf"(?<![0-9A-Za-z]){CARD}(?![0-9A-Za-z])", card),
     "iban": (r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])", iban),
@@ -289,7 +300,7 @@ SHAPES = {name: r"^\+[^@]*$" if name == "phone" else f"^(?:{pattern})$" for name
 BLOCK = 256
 
 
-def pseudonym(key: str, found: Column) -> Column:
+def pseudonym(key: str | Column, found: Column) -> Column:
     """What of a found text is a value (`value`), and its pseudonym (`new`); both equal where it does not validate."""
 
     def new(value: Column) -> Column:
@@ -301,7 +312,7 @@ def pseudonym(key: str, found: Column) -> Column:
     return let(F.when(found.rlike(SHAPES["iban"]), iban_in(found)).otherwise(found), new)
 
 
-def replaced(key: str, text: Column) -> Column:
+def replaced(key: str | Column, text: Column) -> Column:
     """`text` with every validated value replaced, and how many were. For texts that match ANY.
 
     Every place where a value may begin is tried, from left to right; the search goes on behind a
@@ -333,16 +344,34 @@ def replaced(key: str, text: Column) -> Column:
     return let(let(pieces, walked), lambda w: F.struct(F.substring(w["out"], F.lit(2), F.length(w["out"])).alias("text"), w["n"].alias("n")))
 
 
-def pseudonymised(key: str, text: Column) -> Column:
-    """`text` with every validated value replaced; null stays null, a text without any stays as it is."""
-    return F.when(text.rlike(ANY), replaced(key, text)["text"]).otherwise(text)
-
+def pseudonymised(key: str | Column, text: Column) -> Column:
+    """`text` with every validated value replaced; null stays null, a text without any stays as it is.
 
-def hide_personal_data(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """`documents`, all columns, with pseudonyms in `text`. Repeated rows get equal pseudonyms."""
-    return documents.withColumn(text, pseudonymised(key, F.col(text)))
+    A key that is given as text stands in the plan; `hide_personal_data` keeps it out.
+    """
+    return F.when(text.rlike(ANY), replaced(key, text)["text"]).otherwise(text)
 
 
-def count_replaced(key: str, text: Column) -> Column:
+def count_replaced(key: str | Column, text: Column) -> Column:
     """How many values of a text have a pseudonym that differs from them; 0 for null."""
     return F.when(text.rlike(ANY), replaced(key, text)["n"]).otherwise(0).cast("long")
+
+
+def with_pseudonyms(documents: DataFrame, key: str, text: str, found: str) -> DataFrame:
+    """`documents` and a column `found`: the text with every validated value replaced, and how many were (text, n).
+
+    Null stays null with 0, a text without any value stays as it is. The key is looked up by a scalar subquery, so that
+    neither plans nor event logs show it; text and count come from one evaluation.
+    """
+    secret = free_name(documents, "secret")
+    looked_up = documents.sparkSession.sql("select * from values (:key) as t(key)", args={"key": key}).scalar()
+    column = F.col(f"`{text.replace('`', '``')}`")
+    none = F.struct(column.alias("text"), F.lit(0).alias("n"))
+    hidden = F.when(column.rlike(ANY), replaced(F.col(secret), column)).otherwise(none)
+    return documents.withColumn(secret, looked_up).withColumn(found, hidden).drop(secret)
+
+
+def hide_personal_data(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """`documents`, all columns, with pseudonyms in `text`. Repeated rows get equal pseudonyms."""
+    found = free_name(documents, "found")
+    return with_pseudonyms(documents, key, text, found).withColumn(text, F.col(f"{found}.text")).drop(found)

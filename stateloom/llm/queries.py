@@ -85,10 +85,8 @@ PII_KEY = "stateloom"  # for the query; a user takes a secret one
 
 
 def op10_pii_pseudonyms(spark, sf):
-    hidden = pii.pseudonymised(PII_KEY, F.col("text"))
-    return table(spark, sf, "documents").select(
-        "doc_id", hidden.alias("text"), pii.count_replaced(PII_KEY, F.col("text")).alias("n_replaced")
-    )
+    hidden = pii.with_pseudonyms(table(spark, sf, "documents").select("doc_id", "text"), PII_KEY, "text", "found")
+    return hidden.select("doc_id", F.col("found.text").alias("text"), F.col("found.n").cast("long").alias("n_replaced"))
 
 
 def op11_phrase_collocations(spark, sf):

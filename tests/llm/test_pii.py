@@ -141,3 +141,34 @@ def test_social_security_areas_above_666(spark):
     for area, new in zip(areas, got, strict=False):
         a, b = numbers("ssn", area - 1, 44 * 9999 + 6788, 665, 99 * 9999) if area < 666 else numbers("ssn 667", area - 667, 44 * 9999 + 6788, 233, 99 * 9999)
         assert new == f"{a + (1 if area < 666 else 667):03d}-{b // 9999 + 1:02d}-{b % 9999 + 1:04d}" and new != f"{area:03d}-45-6789"
+
+
+def test_the_key_is_in_no_plan(spark):
+    rows = spark.createDataFrame([(1, "mail bosbt.42@mail8.example.com")], "i int, text string")
+    key = "kept-out-of-plans"
+    out = pii.hide_personal_data(rows, key)
+    out.collect()  # adaptive execution shows the subquery's final plan
+    for mode in ("simple", "extended", "formatted"):
+        shown = out._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+        assert key not in shown, mode
+    assert key not in out._jdf.queryExecution().toString()
+
+
+def test_text_and_count_are_computed_once(spark):
+    rows = spark.createDataFrame([("1.1.1.1 x 2.2.2.2 999.9.9.9",), (None,), ("none",)], "`a text` string")
+    both = pii.with_pseudonyms(rows, KEY, "a text", "found").select("found.text", "found.n")
+    got = both.collect()
+    assert [r.n for r in got] == [2, 0, 0] and got[0].text.endswith("999.9.9.9") and got[1].text is None and got[2].text == "none"
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
+
+
+def test_country_codes_extensions_and_times_of_day(spark):
+    values = ["+49 30 901820 2023", "+1-826-555-4081x12", "+44 (0)20 7946 0958", "+358 40 1234567", "+7 495 123-45-67", "2001-02-03T10:00:00"]
+    kept = [r"\+49 .* 2023|\+49 [0-9 ]+", r"\+1-\d{3}-\d{3}-\d{4}x12", r"\+44 \(0\)\d\d \d{4} \d{4}", r"\+358 \d\d \d{7}", r"\+7 \d{3} \d{3}-\d\d-\d\d", r"\d{4}-\d\d-\d\dT10:00:00"]
+    got = hidden(spark, *[f"call {v}, ok" for v in values])
+    for value, shape, new in zip(values, kept, got, strict=True):
+        assert new != f"call {value}, ok" and re.fullmatch(f"call (?:{shape}), ok", new), (value, new)
+    # what is found in a pseudonym's place is a value of the same kind and length: hiding it again changes all of it once more
+    again = hidden(spark, *got)
+    assert all(len(a) == len(b) and a != b for a, b in zip(got, again, strict=True))
