@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 # Element names by what they mean for the text.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+BREAKS = set("br hr".split())  # void elements that end a block; the others stand within a line or show nothing
 RAW = "script style noscript template iframe textarea svg math object select button canvas audio video".split()
 ASIDE_TAGS = set("nav header footer aside form menu dialog head title".split())
 ASIDE_WORDS = set(
@@ -18,7 +19,10 @@ ASIDE_WORDS = set(
     " complementary contentinfo dialog".split()
 )
 # words that may stand beside one of these in a class: site-footer, nav-menu, comments-area; not no-sidebar
-BESIDE_ASIDE = set("site page main top bottom left right primary secondary global mobile area bar block box container wrapper wrap inner section list links slot unit item items group".split())
+BESIDE_ASIDE = set("site page main top bottom left right primary secondary global mobile area bar block box container wrapper wrap inner section list links slot unit item items group buttons icons posts signup thread message".split())
+# words of reader comments, and what may stand beside these only: post-comments, not post-header
+COMMENT_WORDS = set("comment comments respond disqus".split())
+BESIDE_COMMENTS = set("post user reader readers article".split())
 NEVER_ASIDE = set("page html body main article".split())
 CLOSED_BY = {"p": set("p".split()), "li": set("li".split()), "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -48,8 +52,9 @@ def is_aside(label: str) -> bool:
 
 def names_aside(word: str) -> bool:
     """Whether a whole class word says so: one of its parts, and no part that says otherwise."""
-    parts = word.split("-")
-    return any(p in ASIDE_WORDS for p in parts) and all(p in ASIDE_WORDS or p in BESIDE_ASIDE for p in parts)
+    parts = set(word.split("-"))
+    beside = BESIDE_ASIDE | BESIDE_COMMENTS if parts & COMMENT_WORDS else BESIDE_ASIDE
+    return bool(parts & ASIDE_WORDS) and parts <= ASIDE_WORDS | beside
 
 
 def label_of(tag: str, attrs: str) -> str:
@@ -94,9 +99,11 @@ def read(page: str) -> tuple[Node, list[str]]:
         label = label_of(tag, m["attrs"])
         if inline and not is_aside(label):
             continue
-        flush()
         if tag in VOID:
+            if tag in BREAKS:
+                flush()
             continue
+        flush()
         if tag in CLOSED_BY and stack[-1].label.split(".", 1)[0] in CLOSED_BY[tag]:
             stack.pop()
         elif not inline and len(stack) > 1 and stack[-1].label.split(".", 1)[0] == "p":

@@ -78,3 +78,17 @@ def test_names_that_only_contain_a_menus_name_set_nothing_aside(spark):
     for url, html in (("https://a.org/", article), ("https://b.org/", widget), ("https://c.org/", page.replace("BODY", "<p>Text {n}.</p>"))):
         found = texts(spark, [(n, url, html.replace("{n}", str(n))) for n in range(4)])
         assert found[2][0] == "Text 2."
+
+
+def test_void_elements_within_a_line_end_no_block():
+    _, _, blocks = shape_and_blocks("<p>a <img src=x class=ad> b<input>c<meta itemprop=y> d<br>e<hr>f</p>")
+    assert blocks == ["a bc d", "e", "f"]
+
+
+def test_class_words_of_what_surrounds_a_text(spark):
+    dropped = ["share-buttons", "related-posts", "newsletter-signup", "post-comments", "user-comments", "disqus_thread", "social-icons", "cookie-message"]
+    stay = ["post-header", "comment-open", "article-body", "no-comments-here", "post"]
+    parts = "".join(f"<div class='{c}'><p>{c} {{n}}</p></div>" for c in dropped + stay)
+    page = f"<body><article><p>Text {{n}}.</p>{parts}</article></body>"
+    found = texts(spark, [(n, "https://x.org/", page.replace("{n}", str(n))) for n in range(4)])
+    assert found[1][0] == "\n".join(["Text 1.", *[f"{c} 1" for c in stay]])
