@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from stateloom.llm.buffers import U64, chunks
 from stateloom.llm.shared import free_name
 
 PROFILE = 400  # n-grams of a profile, of languages and of documents
+MARGIN = 0.35  # by which another language scores higher than the claimed one if the text is in that language only
 BLOCK_LANGUAGES = 500  # profiles that one pass over the documents broadcasts
 SPACE = 32
 
@@ -122,8 +124,8 @@ class Profiles:
         self.places = np.full((len(self.grams), len(self.langs)), size, np.int32)
         self.places[at, [number[r["lang"]] for r in rows]] = [r["place"] for r in rows]
 
-    def nearest(self, codes: np.ndarray) -> tuple[str, float]:
-        """The language with the smallest sum of displacements (ties: first by name), and 1 - distance / greatest."""
+    def scores(self, codes: np.ndarray) -> np.ndarray:
+        """By language: 1 - sum of displacements / greatest sum."""
         found, n = np.unique(grams(codes), return_counts=True)
         own = found[np.argsort(-n, kind="stable")[: self.size]]
         at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
@@ -131,47 +133,64 @@ class Profiles:
         there = self.places[at[known]]
         here = np.flatnonzero(known)[:, None]
         away = np.where(there == self.size, self.size, np.abs(there - here)).sum(0) + self.size * int((~known).sum())
-        best = int(away.argmin())
-        return self.langs[best], 1 - float(away[best]) / (self.size * len(own))
+        return 1 - away / (self.size * len(own))
 
 
 def identify(
     documents: DataFrame, profiles: DataFrame, text: str = "text", keep: list[str] | None = None, size: int = PROFILE,
-    block_languages: int = BLOCK_LANGUAGES,
+    block_languages: int = BLOCK_LANGUAGES, claimed: str | None = None,
 ) -> tuple[DataFrame, dict[str, str]]:
     """`documents` (the columns in `keep`, default all) with lang_pred and score, and the names these got.
 
     A null text or one without a letter is `und` with score 0, as is every row if no profile was learnt.
-    Repeated rows are judged alike. `block_languages` profiles are broadcast at a time (`size` rows each);
+    Of equal scores the first language by name is taken. With `claimed`, a column of languages that rows
+    are said to be in, claimed_score follows: that language's score, null if the row has no letter or names none
+    that was learnt. Predictions do not depend on it. Repeated rows are judged alike. `block_languages` profiles are broadcast at a time (`size` rows each);
     more languages take further narrow passes, of which the best score stays.
     """
     documents = documents.select(*(keep or documents.columns))
-    names = {c: free_name(documents, c) for c in ("lang_pred", "score")}
-    schema = T.StructType([*documents.schema.fields, T.StructField(names["lang_pred"], T.StringType()), T.StructField(names["score"], T.DoubleType())])
-    column, width = documents.columns.index(text), len(documents.columns)
+    kinds = {"lang_pred": T.StringType(), "score": T.DoubleType()} | ({"claimed_score": T.DoubleType()} if claimed else {})
+    names = {c: free_name(documents, c) for c in kinds}
+    schema = T.StructType([*documents.schema.fields, *[T.StructField(names[c], kinds[c]) for c in kinds]])
+    places = Places(documents.columns.index(text), documents.columns.index(claimed) if claimed else None, len(documents.columns))
     languages = [r[0] for r in profiles.select("lang").distinct().sort("lang").toLocalIterator()]
     blocks = [languages[k : k + block_languages] for k in range(0, len(languages), block_languages)] or [[]]
     judged = documents
     for block in blocks:
         rows = profiles.filter(F.col("lang").isin(block)).collect() if block else []
         shared = documents.sparkSession.sparkContext.broadcast(Profiles(rows, size))
-        judged = judged.mapInArrow(lambda b, shared=shared: judge(b, shared.value, column, width, list(names.values())), schema)
+        judged = judged.mapInArrow(lambda b, shared=shared: judge(b, shared.value, places, list(names.values())), schema)
     return judged, names
 
 
-def judge(batches: Iterator[pa.RecordBatch], profiles: Profiles, column: int, width: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+@dataclass(frozen=True)
+class Places:
+    """Where a batch has the text and the claimed language, and how many columns it has without the verdict."""
+
+    text: int
+    claimed: int | None
+    width: int
+
+
+def judge(batches: Iterator[pa.RecordBatch], profiles: Profiles, places: Places, names: list[str]) -> Iterator[pa.RecordBatch]:
+    number = {lang: k for k, lang in enumerate(profiles.langs)}
     for batch in batches:
-        n = batch.num_rows
-        langs, scores = ["und"] * n, [0.0] * n
-        if batch.num_columns > width:
-            langs, scores = batch.column(width).to_pylist(), batch.column(width + 1).to_pylist()
+        n, width = batch.num_rows, places.width
+        verdict = [["und"] * n, [0.0] * n, [None] * n][: len(names)]
+        if batch.num_columns > width:  # a block of languages came before
+            verdict = [batch.column(width + k).to_pylist() for k in range(len(names))]
+        claims = None if places.claimed is None else batch.column(places.claimed).cast(pa.string()).to_pylist()
         if profiles.langs:
-            for row, codes in rows_of_codes(batch.column(column)):
+            for row, codes in rows_of_codes(batch.column(places.text)):
                 if codes is not None:
-                    lang, score = profiles.nearest(codes)
-                    if langs[row] == "und" or score > scores[row]:
-                        langs[row], scores[row] = lang, score
-        yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names[:width], *names])
+                    scores = profiles.scores(codes)
+                    best = int(scores.argmax())
+                    if verdict[0][row] == "und" or scores[best] > verdict[1][row]:
+                        verdict[0][row], verdict[1][row] = profiles.langs[best], float(scores[best])
+                    if claims is not None and claims[row] in number:
+                        verdict[2][row] = float(scores[number[claims[row]]])
+        added = [pa.array(v, t) for v, t in zip(verdict, (pa.string(), pa.float64(), pa.float64()))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:width], *added], names=[*batch.schema.names[:width], *names])
 
 
 def held_out(key: Column, folds: int = 5) -> Column:
@@ -179,7 +198,19 @@ def held_out(key: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-def keep_identified(documents: DataFrame, profiles: DataFrame, text: str = "text") -> DataFrame:
-    """The documents, all columns, of which a language could be told."""
-    judged, names = identify(documents, profiles, text)
-    return judged.filter(F.col(names["lang_pred"]) != "und").select(*documents.columns)
+def keep_identified(
+    documents: DataFrame, profiles: DataFrame, text: str = "text", lang: str | None = None, margin: float = MARGIN, wanted: list[str] | None = None,
+) -> DataFrame:
+    """The documents, all columns, of which a language could be told.
+
+    With `lang`, a document goes if the language it is said to be in scores lower than the predicted one by `margin`
+    or more: it stands under a wrong label. A text in two languages scores about alike in both and stays, as does one
+    whose language is null or was not learnt. With `wanted`, documents predicted to be in another language go too.
+    """
+    judged, names = identify(documents, profiles, text, claimed=lang)
+    stay = F.col(names["lang_pred"]) != "und"
+    if lang is not None:
+        stay &= F.coalesce(F.col(names["score"]) - F.col(names["claimed_score"]) < margin, F.lit(True))
+    if wanted is not None:
+        stay &= F.col(names["lang_pred"]).isin(wanted)
+    return judged.filter(stay).select(*documents.columns)

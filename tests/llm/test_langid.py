@@ -73,3 +73,27 @@ def test_awkward_rows(spark, awkward):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([3, 4, 5, 5, None, 8], key=repr)
     none = learn_profiles(awkward.limit(0))
     assert keep_identified(awkward, none).count() == 0 and keep_identified(awkward.limit(0), none).count() == 0
+
+
+def test_wrong_labels_are_rejected(spark):
+    rng = random.Random(5)
+    said = lambda lang, k=60: " ".join(rng.choices(WORDS[lang], k=k))
+    rows = [(k, said(lang), lang) for k, lang in enumerate(list(WORDS) * 15)]
+    rows += [(900, said("el"), "en"), (901, said("en") + " " + said("de"), "en"), (902, said("en") + " " + said("de"), "de")]
+    rows += [(903, said("de"), None), (904, said("de"), "xx"), (905, said("de"), "en"), (905, said("de"), "en"), (906, "1 2", "en")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("claimed_score", F.lit(1))
+    profiles = learn_profiles(frame.filter("doc_id < 900"), size=60)
+    every = {r[0] for r in rows}
+    for block in (500, 1):  # the claimed language and the predicted one may come in different blocks
+        judged, names = identify(frame, profiles, size=60, block_languages=block, claimed="lang")
+        assert names["claimed_score"] == "claimed_score_"
+        found = {(r.doc_id, r.lang): r for r in judged.collect()}
+        assert all(r.claimed_score_ == r.score for (k, lang), r in found.items() if k < 900)
+        assert [found[k].claimed_score_ for k in ((903, None), (904, "xx"), (906, "en"))] == [None] * 3
+        assert found[900, "en"].claimed_score_ < found[900, "en"].score - 0.35
+    ids = lambda df: {r.doc_id for r in df.collect()}
+    profiles = learn_profiles(frame.filter("doc_id < 900"))
+    assert ids(keep_identified(frame, profiles, lang="lang")) == every - {900, 905, 906}
+    assert ids(keep_identified(frame, profiles)) == every - {906}
+    assert ids(keep_identified(frame, profiles, wanted=["el"])) == {r[0] for r in rows[:45] if r[2] == "el"} | {900}
+    assert keep_identified(frame, profiles, lang="lang").columns == frame.columns

@@ -32,6 +32,18 @@ def test_stages_take_effect_in_order(spark, tmp_path):
     assert sorted((r.doc_id, r.taken) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == sorted((r.doc_id, r.taken) for r in final.values())
 
 
+def test_language_stage_rejects_wrong_labels(spark, tmp_path):
+    rng = random.Random(2)
+    words = {"en": "the and with that have this from they would there which about".split(), "de": "der und nicht sich auch eine werden schön über größe straße zwischen".split()}
+    said = lambda lang: " ".join(rng.choices(words[lang], k=70))
+    rows = [(k, said(lang), lang, "a", 1) for k, lang in enumerate(["en", "de"] * 20)]
+    rows += [(50, said("de"), "en", "a", 1), (51, said("en"), "de", "b", 1), (52, said("en") + " " + said("de"), "de", "a", 1), (53, said("de"), None, "a", 1)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    ids = {r.doc_id for r in corpus_pipeline.language(spark, frame, str(tmp_path)).collect()}
+    assert ids == {r[0] for r in rows} - {50, 51}
+    assert corpus_pipeline.language(spark, frame.limit(0), str(tmp_path)).count() == 0
+
+
 def test_queries_agree_with_sql(spark):
     with connect(SF) as con:
         for name, sql in LLM_ORACLES.items():
