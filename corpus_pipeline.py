@@ -13,13 +13,15 @@ MIX_WEIGHTS = [3.0, 1.0, 2.0]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a language can be told; profiles are learnt from the labelled ones among them.
+    """Documents in a language that can be told and that is their label's; profiles are learnt from the labelled ones.
 
-    Rejected are null texts and texts without a letter, and everything if no row has a language.
+    Rejected are null texts, texts without a letter, documents whose label is another language than their text's
+    (`langid.MARGIN`), and everything if no row has a language. Without a label, a document stays; so does one whose text is
+    in two languages of which the label is one.
     """
     importable(spark)
     profiles = kept(langid.learn_profiles(docs), "language-profiles")
-    return langid.keep_identified(docs, profiles)
+    return langid.keep_identified(docs, profiles, lang="lang")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
