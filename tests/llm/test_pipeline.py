@@ -34,8 +34,9 @@ def test_stages_take_effect_in_order(spark, tmp_path):
 
 def test_language_stage_rejects_wrong_labels(spark, tmp_path):
     rng = random.Random(2)
-    words = {"en": "the and with that have this from they would there which about".split(), "de": "der und nicht sich auch eine werden schön über größe straße zwischen".split()}
-    said = lambda lang: " ".join(rng.choices(words[lang], k=70))
+    syllables = {"en": "th wh ing er ly sh ou ea nd tion".split(), "de": "sch ü ei pf tz ö keit ung ver ge".split()}
+    word = lambda lang: "".join(rng.choices(syllables[lang], k=rng.randint(1, 4)))
+    said = lambda lang: " ".join(word(lang) for _ in range(150))
     rows = [(k, said(lang), lang, "a", 1) for k, lang in enumerate(["en", "de"] * 20)]
     rows += [(50, said("de"), "en", "a", 1), (51, said("en"), "de", "b", 1), (52, said("en") + " " + said("de"), "de", "a", 1), (53, said("de"), None, "a", 1)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
