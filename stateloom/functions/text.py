@@ -17,15 +17,21 @@ CASE
   WHEN abs({x}) >= 1e-4D AND abs({x}) < 1e16D THEN
     regexp_replace(regexp_replace(
       cast(try_cast(cast({x} AS string) AS decimal(38,21)) AS string), r'0+$', ''), r'\.$', '.0')
-  ELSE regexp_replace(
-    CASE WHEN try_cast(format_string('%.15e', {x}) AS double) = {x} THEN format_string('%.15e', {x})
-      ELSE format_string('%.16e', {x}) END, r'\.?0*e', 'e')
+  ELSE regexp_replace(CASE
+    WHEN try_cast(format_string('%.14e', {x}) AS double) = {x} THEN format_string('%.14e', {x})
+    WHEN abs({x}) >= 1e16D AND abs({x}) < 1e30D THEN replace(if(double({digits16}) = {x}, {digits16}, {digits17}), 'E', 'e+')
+    WHEN try_cast(format_string('%.15e', {x}) AS double) = {x} THEN format_string('%.15e', {x})
+    ELSE format_string('%.16e', {x}) END, r'\.?0*e', 'e')
 END"""
 
+# A whole number below 1e30 rounded to some digits: both parts of it at 2^50 are exact.
+_DIGITS = "format_number(cast(bigint({x} / 1125899906842624D) AS decimal(16,0)) * 1125899906842624BD + bigint({x} % 1125899906842624D), '0.{places}E0')"
+
 
 def double_text_sql(value: str) -> str:
     """`double_text` of an SQL expression, as SQL."""
-    return _DOUBLE_TEXT.format(x=f"({value})")
+    x = f"({value})"
+    return _DOUBLE_TEXT.format(x=x, **{f"digits{n}": _DIGITS.format(x=x, places="#" * (n - 1)) for n in (16, 17)})
 
 
 def double_text(value: str) -> Column:
@@ -33,8 +39,9 @@ def double_text(value: str) -> Column:
 
     Plain digits from 1e-4 up to 1e16, `1e+16` style outside. Spark itself turns to exponents at
     1e-3 and 1e7, so an amount of ten million would hash to another key than in the engines this
-    text has to agree with. An exponent form has sixteen digits when they name the same double,
-    else seventeen, without trailing zeros.
+    text has to agree with. An exponent form has the fewest digits that name the same double. Java's own
+    digits are that from 1e30 on and below 1e-4, but for some denormals; between 1e16 and 1e30 they may be too
+    many or not the nearest ones, so there the exact whole number is rounded to 16 or 17 digits if 15 of Java's do not do.
     """
     return F.expr(double_text_sql(value))
 

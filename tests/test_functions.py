@@ -32,6 +32,9 @@ def test_double_text_matches_duckdb(spark):
     values += [float("nan"), float("inf"), float("-inf"), None]
     values += [round(random.uniform(-1e9, 1e9), 2) * 1000 for _ in range(2000)]
     values += [random.uniform(-1, 1) * 10 ** random.randint(-8, 15) for _ in range(2000)]
+    # where Java's digits are not always the fewest or the nearest
+    values += [random.uniform(-1, 1) * 10 ** random.uniform(16, 31) for _ in range(20000)]
+    values += [1e23, 2e23, -1e22, 9.2e22, 4.81e21, 8.7381e20, 7.35529617708e18, 2.0972688688303508e18, -3.5783296469592777e25, 2.0**63]
     want = [None if v is None else duckdb.execute("select cast(?::double as varchar)", [v]).fetchone()[0] for v in values]
     assert results(column(spark, values, "double"), double_text("x")) == want
     assert want[2] == "10000000.0" and want[3] == "0.0001" and want[6] == "123456789.125"
