@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stateloom.llm.buffers import CHUNK_BYTES, U64, chunks, mix, powers, prefix_sums, span_hashes
+from stateloom.llm.buffers import U64, as_long, chunks, mix, powers, prefix_sums, span_hashes, text_bytes
 from stateloom.llm.shared import kept
 from stateloom.llm.suffixes import common_prefixes, suffix_array
 
@@ -99,6 +99,9 @@ def runs(mask: np.ndarray) -> np.ndarray:
 
 SHARD_OUT = f"{SPANS}, anchor long, bucket int, names array<struct<x: long, y: long, doc: long, text_hash: long, at: int>>"
 NAMES_ARROW = pa.list_(pa.struct([("x", pa.int64()), ("y", pa.int64()), ("doc", pa.int64()), ("text_hash", pa.int64()), ("at", pa.int32())]))
+SHARD_ARROW = pa.schema(
+    [("doc", pa.int64()), ("text_hash", pa.int64()), ("spans", SPANS_ARROW), ("anchor", pa.int64()), ("bucket", pa.int32()), ("names", NAMES_ARROW)]
+)
 
 
 def search_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -107,68 +110,72 @@ def search_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
     One row per context, with its spans; and for anchors over several shards one row per bucket of window names,
     which says of each distinct window (its 128-bit name) where one of its places is.
     """
-    waiting: list[dict] = []
-    size = 0
+    waiting: list[pa.RecordBatch] = []
+    size, last = 0, None
     for batch in batches:
-        for row in batch.to_pylist():
-            new = not waiting or (row["anchor"], row["salt"]) != (waiting[-1]["anchor"], waiting[-1]["salt"])
-            if new and size >= SHARD_BYTES:
-                yield search_shard(waiting, length)
-                waiting, size = [], 0
-            waiting.append(row)
-            size += len(row["bytes"])
+        if not batch.num_rows:
+            continue
+        anchor, salt = (batch.column(c).to_numpy() for c in ("anchor", "salt"))
+        new = np.concatenate([[(anchor[0], salt[0]) != last], (anchor[1:] != anchor[:-1]) | (salt[1:] != salt[:-1])])
+        last = (anchor[-1], salt[-1])
+        before = text_bytes(batch.column("bytes"))[1]
+        lo = 0
+        for k in np.flatnonzero(new).tolist():
+            if size + before[k] - before[lo] >= SHARD_BYTES:
+                yield search_shard(pa.Table.from_batches([*waiting, batch.slice(lo, k - lo)]), length)
+                waiting, size, lo = [], 0, k
+        waiting.append(batch.slice(lo))
+        size += int(before[-1] - before[lo])
     if waiting:
-        yield search_shard(waiting, length)
+        yield search_shard(pa.Table.from_batches(waiting), length)
 
 
-def search_shard(rows: list[dict], length: int) -> pa.RecordBatch:
-    text = np.frombuffer(b"".join(r["bytes"] for r in rows), np.uint8)
-    begin = np.cumsum([0] + [len(r["bytes"]) for r in rows])[:-1]
-    count = np.array([r["windows"] for r in rows])
+def search_shard(rows: pa.Table, length: int) -> pa.RecordBatch:
+    rows = rows.combine_chunks()
+    text, begin = text_bytes(rows.column("bytes"))
+    count, first, anchor, salts = (rows.column(c).to_numpy().astype(np.int64) for c in ("windows", "start", "anchor", "salts"))
     order, rank = suffix_array(text)
     shared = common_prefixes(text, order, rank)
     # in the order of suffixes, equal windows stand together: between them, all share `length` bytes
     group = np.cumsum(shared < length)
-    which = np.repeat(np.arange(len(rows)), count)
-    starts = np.repeat(begin, count) + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    which = np.repeat(np.arange(len(count)), count)
+    within = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    starts = begin[which] + within
     own = group[rank[starts]]
     times = np.bincount(own, minlength=len(text) + 1)
     repeated = times[own] > 1
-    out = {k: [] for k in ("doc", "text_hash", "spans", "anchor", "bucket", "names")}
-
-    def put(**values) -> None:
-        for k in out:
-            out[k].append(values.get(k))
-
-    bounds = np.concatenate([[0], np.cumsum(count)])
-    for k, row in enumerate(rows):
-        found = runs(repeated[bounds[k] : bounds[k + 1]])
-        if len(found):
-            put(doc=row["doc"], text_hash=row["text_hash"], spans=[{"a": int(a) + row["start"], "b": int(b) - 1 + length + row["start"]} for a, b in found])
-    split = np.array([r["salts"] > 1 for r in rows])[which]
+    # runs of repeated windows, none across rows
+    edge = within == 0
+    head = np.flatnonzero(repeated & (edge | ~np.concatenate([[False], repeated[:-1]])))
+    tail = np.flatnonzero(repeated & np.concatenate([edge[1:] | ~repeated[1:], [True]]))
+    with_spans, at = np.unique(which[head], return_index=True)
+    spans = pa.StructArray.from_arrays(
+        [pa.array((within[place] + first[which[place]] + more).astype(np.int32)) for place, more in ((head, 0), (tail, length))], names=["a", "b"]
+    )
+    found = rows.select(["doc", "text_hash"]).take(pa.array(with_spans))
+    found = found.append_column("spans", pa.ListArray.from_arrays(np.append(at, len(head)).astype(np.int32), spans))
+    split = (salts > 1)[which]
+    names = pa.table({"anchor": pa.array([], pa.int64()), "bucket": pa.array([], pa.int32()), "names": pa.array([], NAMES_ARROW)})
     if split.any():
         sums, high = prefix_sums(text), prefix_sums(np.roll(text, 1) ^ np.uint8(0x5A))
         picked = np.flatnonzero(split)
         # one place of each distinct window
         _, one = np.unique(own[picked], return_index=True)
         picked = picked[one]
-        at = starts[picked]
+        at, row = starts[picked], which[picked]
         x = span_hashes(sums, at, at + length)
         y = span_hashes(high, at + 1, at + length)
-        anchors = np.array([r["anchor"] for r in rows])[which[picked]]
-        salts = np.array([r["salts"] for r in rows])[which[picked]]
-        bucket = (x % salts.astype(U64)).astype(np.int64)
-        again = np.lexsort((y, x, bucket, anchors))
-        lead = np.flatnonzero(np.concatenate([[True], np.diff(anchors[again]) != 0]) | np.concatenate([[True], np.diff(bucket[again]) != 0]))
-        for a, b in zip(lead, np.append(lead[1:], len(again)), strict=True):
-            names = [
-                {"x": int(np.int64(x[j].view(np.int64))), "y": int(y[j].view(np.int64)), "doc": rows[which[picked[j]]]["doc"],
-                 "text_hash": rows[which[picked[j]]]["text_hash"], "at": int(at[j] - begin[which[picked[j]]]) + rows[which[picked[j]]]["start"]}
-                for j in again[a:b]
-            ]
-            put(anchor=int(anchors[again[a]]), bucket=int(bucket[again[a]]), names=names)
-    kinds = {"spans": SPANS_ARROW, "names": NAMES_ARROW, "bucket": pa.int32()}
-    return pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()], names=list(out))
+        bucket = (x % salts[row].astype(U64)).astype(np.int64)
+        again = np.lexsort((y, x, bucket, anchor[row]))
+        picked, row, x, y, bucket = picked[again], row[again], x[again], y[again], bucket[again]
+        lead = np.flatnonzero(np.concatenate([[True], (np.diff(anchor[row]) != 0) | (np.diff(bucket) != 0)]))
+        doc, text_hash = (rows.column(c).take(pa.array(row)).combine_chunks() for c in ("doc", "text_hash"))
+        each = [as_long(x), as_long(y), doc, text_hash, pa.array((within[picked] + first[row]).astype(np.int32))]
+        each = pa.StructArray.from_arrays(each, names=["x", "y", "doc", "text_hash", "at"])
+        lists = pa.ListArray.from_arrays(np.append(lead, len(row)).astype(np.int32), each)
+        names = pa.table({"anchor": anchor[row[lead]], "bucket": bucket[lead].astype(np.int32), "names": lists})
+    out = pa.concat_tables([found, names], promote_options="default").select(["doc", "text_hash", "spans", "anchor", "bucket", "names"])
+    return out.combine_chunks().cast(SHARD_ARROW).to_batches()[0] if out.num_rows else pa.RecordBatch.from_pylist([], SHARD_ARROW)
 
 
 def merge_shards(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:

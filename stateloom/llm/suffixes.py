@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+U64 = np.uint64
+
 
 def words_at(text: np.ndarray) -> np.ndarray:
     """The eight bytes from each place as one big-endian number; 0 beyond the end."""
@@ -14,40 +16,42 @@ def words_at(text: np.ndarray) -> np.ndarray:
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All suffixes in order, and the place of each suffix in that order.
 
-    Suffixes are first ordered by eight bytes. Then groups that are still equal, and only those, are refined by the
+    Suffixes are first ordered by seven bytes. Then groups that are still equal, and only those, are refined by the
     groups of the suffixes h places on; h doubles until no group is left. A suffix that ends counts as smaller.
     """
     n = len(text)
-    first = words_at(text)
-    order = np.argsort(first, kind="stable")
-    rank = group_starts(np.diff(first[order]) != 0, n)[np.argsort(order)] if n else np.empty(0, np.int64)
-    # zero bytes beyond the end equal real ones: short suffixes are told apart by their length
-    if n:
-        tail = np.arange(max(0, n - 7), n)
-        size = np.full(n, 8)
-        size[tail] = n - tail
-        order = np.lexsort((size, first))
-        changed = (np.diff(first[order]) != 0) | (np.diff(size[order]) != 0)
-        rank[order] = group_starts(changed, n)
-    h = 8
-    while True:
-        starts = rank[order]
-        same = np.zeros(n, bool)
-        same[1:] |= starts[1:] == starts[:-1]
-        same[:-1] |= starts[1:] == starts[:-1]
-        where = np.flatnonzero(same)
-        if not len(where):
-            return order, rank
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    # seven bytes and how many of them are real: zero bytes beyond the end equal real ones
+    h = 7
+    first = words_at(text) & ~U64(0xFF) | np.minimum(n - np.arange(n), h).astype(U64)
+    order = np.argsort(first)
+    rank = np.empty(n, np.int64)
+    starts = group_starts(np.diff(first[order]) != 0, n)
+    rank[order] = starts
+    # only groups of several suffixes are sorted again, always as a whole
+    where = several(starts)
+    starts = starts[where]
+    while len(where):
         open_ = order[where]
-        ahead = np.where(open_ + h < n, rank[np.minimum(open_ + h, n - 1)] + 1, 0)
-        again = np.lexsort((ahead, rank[open_]))
-        open_, ahead = open_[again], ahead[again]
-        own = rank[open_]
+        ahead = open_ + h
+        ahead = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        key = starts * (n + 1) + ahead  # one number for both ranks: sorting it is much faster than sorting by two
+        again = np.argsort(key)
+        open_, key = open_[again], key[again]
         order[where] = open_
-        changed = (np.diff(own) != 0) | (np.diff(ahead) != 0)
-        lead = np.concatenate([[True], changed])
-        rank[open_] = where[np.maximum.accumulate(np.where(lead, np.arange(len(where)), 0))]
+        starts = where[group_starts(np.diff(key) != 0, len(key))]
+        rank[open_] = starts
+        left = several(starts)
+        where, starts = where[left], starts[left]
         h *= 2
+    return order, rank
+
+
+def several(starts: np.ndarray) -> np.ndarray:
+    """Places of the groups that have more than one member."""
+    same = starts[1:] == starts[:-1]
+    return np.flatnonzero(np.concatenate([[False], same]) | np.concatenate([same, [False]]))
 
 
 def group_starts(changed: np.ndarray, n: int) -> np.ndarray:

@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import hashlib
 import random
+import sys
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stateloom.llm import substrings
@@ -78,3 +80,27 @@ def test_suffix_array_and_common_prefixes():
             while max(i, j) + n < len(b) and b[i + n] == b[j + n]:
                 n += 1
             assert shared[k] == n
+
+
+def test_shards_are_searched_in_bulk():
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcd") for _ in range(260)) for _ in range(200)] * 2
+    rng.shuffle(texts)
+    rows = [
+        {"anchor": i // 8, "salt": 0, "salts": 1, "doc": None if i == 5 else i, "text_hash": i, "start": 3, "windows": 61, "bytes": texts[i].encode()}
+        for i in range(400)
+    ]
+    batch = pa.RecordBatch.from_pylist(rows, pa.schema([(k, pa.binary() if k == "bytes" else pa.int64()) for k in rows[0]]))
+    list(substrings.search_shards(iter([batch.slice(0, 8)]), 200))  # imports what is needed
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    got = list(substrings.search_shards(iter([batch.slice(0, 150), batch.slice(150)]), 200))
+    sys.setprofile(None)
+    found = [r for part in got for r in part.to_pylist()]
+    assert [(r["doc"], r["spans"]) for r in found] == [(r["doc"], [{"a": 3, "b": 263}]) for r in rows]
+    assert calls < 2 * len(rows)  # nothing runs context by context
