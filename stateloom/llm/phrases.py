@@ -5,8 +5,9 @@ persisted in chunks of bounded size (one row a chunk; texts are never split, so
 chunks), and one round goes from k to k + 1 words:
 
 1. Group-count: each chunk has named its distinct phrases and counted them; the counts are summed by
-   phrase over all chunks. A frequent word or phrase is one row a chunk, never one row a place.
-2. Semi-join: phrases below `least` go, chunk by chunk.
+   phrase over all chunks. Words are one row a chunk; longer phrases are dealt by hash into slices of bounded size,
+   to which a chunk sends all it has in one packed row.
+2. Semi-join: phrases below `least` go; a slice tells each chunk which of its phrases stay.
 3. Merge-join: in each chunk the places left are joined with themselves by piece and next position, in the order they
    are stored. Both parts of a phrase of k + 1 words are frequent if it is.
 
@@ -26,13 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stateloom.llm.buffers import LOWER, chunks, text_bytes, word_spans
+from stateloom.llm.buffers import BASE, LOWER, U64, chunks, mix, text_bytes, word_spans
 from stateloom.llm.shared import passing, settled
 
 # What ends a piece, and what parts the words of one.
 PIECE_ENDS = [*b".,;:!?", 10, 11, 12, 13]
 BLANKS = [32, 9]
 CHUNK = 12 << 20  # bytes of text; a document is not split, so that one more may follow
+SLICES = 32  # least number of slices in which phrases are counted
+SLICE_WORDS = 2 << 20  # words of text for which there is one slice; a slice has fewer phrases than that
 SALTS = 64  # groups in which a language's best are found before they meet
 
 
@@ -139,18 +142,81 @@ def together(batches: list[pa.RecordBatch]) -> tuple[pa.Array, pa.Array]:
 CHUNK_ROWS = pa.schema([("chunk", pa.int64()), ("places", pa.binary()), ("phrases", pa.binary())])
 
 
-def distinct_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each of a chunk's distinct phrases."""
+def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each of a chunk's distinct words."""
     for batch in batches:
         for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("phrases")):
             table = unpacked(blob.as_py())
             many = table.num_rows
-            table = table.append_column("chunk", pa.array(np.full(many, chunk)))
-            if "word" in table.column_names:
-                table = table.append_column("u", pa.array(np.arange(many, dtype=np.int32)))
+            table = table.append_column("chunk", pa.array(np.full(many, chunk))).append_column("u", pa.array(np.arange(many, dtype=np.int32)))
             yield from table.to_batches(max_chunksize=1 << 16)
 
 
+def hashed(words: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros(len(words[0]), U64)
+    for w in words:
+        out = mix(out * U64(BASE) + w.astype(U64))
+    return out
+
+
+SLICED = "slice long, chunk long, part binary"
+SLICED_ARROW = pa.schema([("slice", pa.int64()), ("chunk", pa.int64()), ("part", pa.binary())])
+
+
+def sliced(size: int, slices: int):
+    """Chunks with their distinct phrases to a row for each slice and chunk, which holds the chunk's phrases of that slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("phrases")):
+                table = unpacked(blob.as_py())
+                of = (hashed([table.column(k).to_numpy() for k in keys(size)]) % U64(slices)).astype(np.int64)
+                order = np.argsort(of, kind="stable")
+                table = table.take(order).append_column("u", pa.array(order.astype(np.int32))).combine_chunks()
+                of, lead = np.unique(of[order], return_index=True)
+                parts = [packed(**{c: table.column(c)[lo:hi] for c in table.column_names}) for lo, hi in zip(lead, np.append(lead[1:], len(order)))]
+                yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(np.full(len(of), chunk)), pa.array(parts, pa.binary())], schema=SLICED_ARROW)
+
+    return run
+
+
+def grouped(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal phrases stand together, and where each of them begins in it."""
+    hashes = hashed(words)
+    order = np.argsort(hashes)
+    changed = lambda: np.any([np.diff(w[order]) != 0 for w in words], axis=0)
+    if (changed() & (np.diff(hashes[order]) == 0)).any():  # equal hashes of different phrases
+        order = np.lexsort(words)
+    return order, np.flatnonzero(np.concatenate([[True], changed()]))
+
+
+def counting(size: int, least: int):
+    """One slice to the phrases that are frequent (a row each), and for each chunk to which of its phrases they are (a row a chunk)."""
+    schema = pa.schema([("chunk", pa.int64()), ("u", pa.binary()), *((k, pa.int64()) for k in keys(size)), ("f", pa.int64())])
+
+    def run(rows: pa.Table) -> pa.Table:
+        parts = [unpacked(part.as_py()) for part in rows.column("part")]
+        bounds = np.cumsum([0] + [part.num_rows for part in parts])
+        table = pa.concat_tables(parts).combine_chunks()
+        words = [table.column(k).to_numpy() for k in keys(size)]
+        order, lead = grouped(words)
+        f = np.add.reduceat(table.column("n").to_numpy()[order], lead)
+        often = f >= least
+        stays = np.zeros(len(order), bool)
+        stays[order] = np.repeat(often, np.diff(np.append(lead, len(order))))
+        u = table.column("u").to_numpy()
+        one = order[lead[often]]
+        phrases = {"u": pa.nulls(len(one), pa.binary()), "f": f[often], **{k: w[one] for k, w in zip(keys(size), words)}}
+        replies = [u[lo:hi][stays[lo:hi]].tobytes() for lo, hi in zip(bounds[:-1], bounds[1:])]
+        nothing = {k: pa.nulls(len(parts), pa.int64()) for k in ("f", *keys(size))}
+        return pa.concat_tables([
+            pa.table({"chunk": pa.nulls(len(one), pa.int64()), **phrases}).select(schema.names).cast(schema),
+            pa.table({"chunk": rows.column("chunk"), "u": pa.array(replies, pa.binary()), **nothing}).select(schema.names).cast(schema),
+        ])
+
+    return run
+
+
 def words_by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for blob in batch.column("phrases"):
@@ -165,13 +231,12 @@ def extending(size: int):
             return CHUNK_ROWS.empty_table()
         position, u = places_of(left.column("places")[0].as_py())
         if size == 1:
-            right = right.sort_by("w1")
-        else:  # words come back; which of the chunk's phrases they are is looked up
-            known = unpacked(left.column("phrases")[0].as_py()).drop_columns("n")
-            known = known.append_column("u", pa.array(np.arange(known.num_rows, dtype=np.int32)))
-            right = known.join(right.drop_columns("chunk"), keys(size), join_type="inner").sort_by("u")
-        right = right.combine_chunks()
-        frequent, words = right.column("u").to_numpy(), [right.column(k).to_numpy() for k in keys(size)]
+            right = right.sort_by("w1").combine_chunks()
+            frequent, words = right.column("u").to_numpy(), [right.column("w1").to_numpy()]
+        else:
+            frequent = np.sort(np.concatenate([np.frombuffer(part.as_py(), np.int32) for part in right.column("u")]))
+            known = unpacked(left.column("phrases")[0].as_py())
+            words = [known.column(k).to_numpy()[frequent] for k in keys(size)]
         row = np.full(int(u.max()) + 1, -1, np.int64)
         row[frequent] = np.arange(len(frequent))
         at = row[u]
@@ -197,7 +262,7 @@ def frequent_phrases(documents: DataFrame, lang: str, text: str, options: Option
     """Frequent words with their language's number of words, and for each size from 2 the frequent phrases (w1.., f)."""
     rows = documents.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
     places = passing(rows.mapInArrow(first_relation, RELATION), "places-1")
-    named = places.rows.select("chunk", "phrases").mapInArrow(distinct_phrases, "n long, lang string, word binary, chunk long, u int")
+    named = places.rows.select("chunk", "phrases").mapInArrow(distinct_words, "n long, lang string, word binary, chunk long, u int")
     of_word = Window.partitionBy("lang", "word")
     number = (F.col("chunk") + F.col("u")).alias("number")
     counted = named.select("chunk", "u", "lang", "word", "n", number).select(
@@ -211,23 +276,20 @@ def frequent_phrases(documents: DataFrame, lang: str, text: str, options: Option
     words = settled(
         left.rows.filter("f is not null").join(sizes, "lang").select("w1", "lang", F.col("word").cast("string").alias("word"), "words", "f"), "frequent-words"
     )
+    total = words.select("lang", "words").distinct().agg(F.sum("words")).first()[0] or 0
+    slices = max(SLICES, total // SLICE_WORDS)
     found = []
     for size in range(2, options.longest + 1):
-        chosen = left.rows.select("chunk", *(["u"] if size == 2 else []), *keys(size - 1))
+        chosen = left.rows.select("chunk", "u", "w1") if size == 2 else left.rows.filter("chunk is not null").select("chunk", "u")
         relations = places.rows.drop("phrases") if size == 2 else places.rows  # words are named by what comes back
         joined = relations.groupBy("chunk").cogroup(chosen.groupBy("chunk"))
         before, places = (places, left), passing(joined.applyInArrow(extending(size - 1), RELATION), f"places-{size}")
         for done in before[: 1 if size > 2 else 2]:
             done.drop()
-        named = places.rows.select("chunk", "phrases").mapInArrow(
-            distinct_phrases, "n long, " + ", ".join(f"{k} long" for k in keys(size)) + ", chunk long"
-        )
-        # a chunk names a phrase once: the window holds a row a chunk, and what is left of it is the semi-join
-        of_phrase = Window.partitionBy(*keys(size))
-        counted = named.select("chunk", *keys(size), F.sum("n").over(of_phrase).alias("f"), F.min("chunk").over(of_phrase).alias("first"))
-        here = F.col("chunk") == F.col("first")
-        left = passing(counted.filter(F.col("f") >= options.least).select("chunk", *keys(size), F.when(here, F.col("f")).alias("f")), f"left-{size}")
-        found.append(left.rows.filter("f is not null").select(*keys(size), "f"))
+        dealt = places.rows.select("chunk", "phrases").mapInArrow(sliced(size, slices), SLICED)
+        counted = "chunk long, u binary, " + ", ".join(f"{k} long" for k in keys(size)) + ", f long"
+        left = passing(dealt.groupBy("slice").applyInArrow(counting(size, options.least), counted), f"left-{size}")
+        found.append(left.rows.filter("chunk is null").select(*keys(size), "f"))
     places.drop()
     return words, found
 

@@ -6,7 +6,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from stateloom.llm import phrases
@@ -65,6 +67,32 @@ def test_words_pieces_and_languages():
     assert n.sum() == 6
 
 
+@pytest.mark.parametrize("collide", [False, True])
+def test_a_chunk_sends_one_row_to_a_slice(monkeypatch, collide):
+    """However many phrases it has; frequent ones are found exactly even if hashes are equal."""
+    rng = np.random.default_rng(5)
+    sets = {c: np.unique(rng.integers(0, 70, (4000, 3)), axis=0) for c in (7, 8, 9)}
+    counts = {c: rng.integers(1, 50, len(w)) for c, w in sets.items()}
+    blobs = [phrases.packed(n=counts[c], **dict(zip(("w1", "w2", "w3"), w.T))) for c, w in sets.items()]
+    batch = pa.RecordBatch.from_arrays([pa.array(list(sets)), pa.array(blobs, pa.binary())], names=["chunk", "phrases"])
+    rows = pa.Table.from_batches(phrases.sliced(3, 4)(iter([batch])))
+    assert rows.num_rows == 3 * 4 and sum(phrases.unpacked(p).num_rows for p in rows.column("part").to_pylist()) == sum(map(len, sets.values()))
+    if collide:
+        monkeypatch.setattr(phrases, "hashed", lambda words: words[0].astype(np.uint64) % np.uint64(3))
+    want = Counter()
+    for c, w in sets.items():
+        want.update({tuple(p): int(n) for p, n in zip(w.tolist(), counts[c])})
+    got, told = {}, {c: set() for c in sets}
+    for part in range(4):
+        for r in phrases.counting(3, 60)(rows.filter(pa.compute.equal(rows.column("slice"), part))).to_pylist():
+            if r["chunk"] is None:
+                got[r["w1"], r["w2"], r["w3"]] = r["f"]
+            else:
+                told[r["chunk"]].update(tuple(sets[r["chunk"]][u].tolist()) for u in np.frombuffer(r["u"], np.int32))
+    assert got == {p: f for p, f in want.items() if f >= 60} and got
+    assert told == {c: {tuple(p) for p in w.tolist()} & set(got) for c, w in sets.items()}
+
+
 def test_products_beyond_64_bits(spark):
     row = (1, 2, 4 * 10**15, "en", 9 * 10**17, "p", "q", [5 * 10**15], [7 * 10**15])
     made = spark.createDataFrame([row], "w1 long, w2 long, f long, lang string, words long, phrase string, last string, firsts array<long>, rests array<long>")
