@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stateloom.llm.buffers import U64, as_long, chunks, mix, powers, prefix_sums, span_hashes, text_bytes
-from stateloom.llm.shared import kept
+from stateloom.llm.shared import passing, settled
 from stateloom.llm.suffixes import common_prefixes, suffix_array
 
 LENGTH = 200
@@ -228,20 +228,24 @@ def remove_repeats(
     whole; repeated rows repeat each other, so that they lose every byte of a text of `length` or more.
     """
     texts = documents.select(F.col(doc).cast("long").alias("doc"), F.xxhash64(text).alias("text_hash"), F.encode(text, "UTF-8").alias("bytes"))
-    seen = kept(contexts(texts, length, anchor), "contexts")
+    # shuffle files go with the step that wrote them, tables with their last reader: waiting for the collector filled the disk
+    every = passing(contexts(texts, length, anchor), "contexts")
     # counts by a key are written before they meet that key's rows: only then can a hot key's side be split
-    often = kept(seen.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor"), "anchors-again")
-    seen = kept(seen.join(often, "anchor"), "contexts-again")
+    often = passing(every.rows.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor"), "anchors-again")
+    again = passing(every.rows.join(often.rows, "anchor"), "contexts-again")
+    every.drop()
+    often.drop()
+    seen = again.rows
     where = F.struct(F.col("doc").isNull(), "doc", "text_hash", "place")
     start, windows = F.shiftright("place", 16).cast("int").alias("start"), F.col("place").bitwiseAND(F.lit(0xFFFF)).cast("int").alias("windows")
-    each = kept(seen.groupBy("anchor", "context").agg(F.count("*").alias("times"), F.min(where).alias("one")), "contexts-each")
-    several = kept(each.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "anchors-several")
+    each = passing(seen.groupBy("anchor", "context").agg(F.count("*").alias("times"), F.min(where).alias("one")), "contexts-each")
+    several = passing(each.rows.groupBy("anchor").agg(F.count("*").alias("contexts")).filter("contexts > 1"), "anchors-several")
     # whole contexts that repeat
-    whole = seen.join(each.filter("times > 1").select("anchor", "context"), ["anchor", "context"]).select(
+    whole = seen.join(each.rows.filter("times > 1").select("anchor", "context"), ["anchor", "context"]).select(
         "doc", "text_hash", F.struct(start.alias("a"), (start + windows - 1 + length).alias("b")).alias("span")
     )
     # one place of each context whose anchor has others
-    looked = each.join(several, "anchor").select("anchor", "context", "contexts", "one").join(seen, ["anchor", "context"])
+    looked = each.rows.join(several.rows, "anchor").select("anchor", "context", "contexts", "one").join(seen, ["anchor", "context"])
     looked = looked.filter(where == F.col("one")).select(
         "doc", "text_hash", F.struct("anchor", "context", "contexts", start, windows).alias("look")
     )
@@ -250,23 +254,26 @@ def remove_repeats(
         looked.select("doc", "text_hash", F.lit(None).cast(whole.schema["span"].dataType).alias("span"), "look")
     )
     per_text = per_text.groupBy("doc", "text_hash").agg(F.collect_list("span").alias("spans"), F.collect_list("look").alias("looks"))
-    found = per_text.select(F.col("doc").alias("d"), F.col("text_hash").alias("h"), "spans", "looks")
-    joined = texts.join(found, F.col("doc").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
+    found = passing(per_text.select(F.col("doc").alias("d"), F.col("text_hash").alias("h"), "spans", "looks"), "texts-found")
+    for table in (again, each, several):
+        table.drop()
+    joined = texts.join(found.rows, F.col("doc").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")), "left")
     # only texts with repeats are carried on
     empty = F.coalesce("bytes", F.lit(b""))
     clean = F.col("h").isNull()
-    held = kept(joined.select(
+    held = settled(joined.select(
         "doc", "text_hash", clean.alias("clean"), F.octet_length(empty).cast("long").alias("n_bytes"), F.sha2(empty, 256).alias("sha"),
         (empty if with_text else F.when(~clean, empty)).alias("bytes"), F.coalesce("spans", F.array().cast(nothing[0])).alias("spans"),
         F.coalesce("looks", F.array().cast(nothing[1])).alias("looks"),
     ), "texts-again")
+    found.drop()
     shards = held.filter(F.size("looks") > 0).select("doc", "text_hash", "bytes", F.explode("looks").alias("look")).select(
         "look.anchor", F.ceil(F.col("look.contexts") / shard_contexts).alias("salts"), "look.context", "doc", "text_hash", "look.start", "look.windows",
         F.substring("bytes", F.col("look.start") + 1, F.col("look.windows") - 1 + length).alias("bytes"),
     )
     shards = shards.withColumn("salt", F.pmod("context", "salts")).select("anchor", "salt", "salts", "doc", "text_hash", "start", "windows", "bytes")
     dealt = shards.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
-    sorted_ = kept(dealt.mapInArrow(lambda b: search_shards(b, length), SHARD_OUT), "shards")
+    sorted_ = settled(dealt.mapInArrow(lambda b: search_shards(b, length), SHARD_OUT), "shards")
     lists = sorted_.filter("names is not null").groupBy("anchor", "bucket").agg(F.collect_list(F.struct("names")).alias("lists"))
     across = lists.mapInArrow(lambda b: merge_shards(b, length), SPANS)
     more = sorted_.filter("spans is not null").select("doc", "text_hash", "spans").unionByName(across)

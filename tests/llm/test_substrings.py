@@ -3,13 +3,16 @@ from __future__ import annotations
 import hashlib
 import random
 import sys
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from stateloom.llm import substrings
+from stateloom.llm.shared import shared_base
 from stateloom.llm.suffixes import common_prefixes, suffix_array
 
 
@@ -104,3 +107,20 @@ def test_shards_are_searched_in_bulk():
     found = [r for part in got for r in part.to_pylist()]
     assert [(r["doc"], r["spans"]) for r in found] == [(r["doc"], [{"a": 3, "b": 263}]) for r in rows]
     assert calls < 2 * len(rows)  # nothing runs context by context
+
+
+def test_tables_and_shuffle_files_go_with_their_last_reader(spark):
+    rng = random.Random(6)
+    one, two = ("".join(rng.choice("abcdef") for _ in range(700)) for _ in range(2))
+    rows = [(1, one), (2, one[:400] + two), (3, "x" + one[90:]), (4, two[::-1]), (5, two[100:500])]
+    tables = Path(shared_base(spark)) / f"stateloom-{spark.sparkContext.applicationId}"
+    folders = list(spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+    shuffled = lambda: {f for d in folders for f in Path(d).glob("*/shuffle_*")}
+    stood, lay = set(tables.glob("*")), shuffled()
+    frame = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {t.name.rsplit("-", 1)[0] for t in set(tables.glob("*")) - stood} == {"texts-again", "shards"}
+    end = time.monotonic() + 20
+    while (left := shuffled() - lay) and time.monotonic() < end:  # Spark removes them behind the query's end
+        time.sleep(0.1)
+    assert not left
+    assert sorted(((*tuple(r)[:5], bytes(r.kept_text)) for r in frame.collect()), key=repr) == brute(rows, 200)
