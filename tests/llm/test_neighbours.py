@@ -82,3 +82,63 @@ def test_the_beam_grows_until_recall_is_as_wanted(spark, monkeypatch):
     want = exact(rows)
     hits = sum(len({i for _, i in want[q]} & got[q]) for q in want)
     assert hits >= 0.93 * 10 * len(want) and seen == [11 << i for i in range(len(seen))]
+
+
+def test_graph_and_search_are_a_row_a_part_also_with_many_parts(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(k, [float(np.float32(v)) for v in rng.standard_normal(16)]) for k in range(1500)]
+    for name, value in (("PART", (100, 200)), ("SLICE", 64), ("MEMBERS", 300), ("OPENED", 100)):
+        monkeypatch.setattr(neighbours, name, value)
+    kept, written = neighbours.passing, {}
+
+    def passing(df, name):
+        table = kept(df, name)
+        written.setdefault(name, []).append(table.rows.count())
+        return table
+
+    monkeypatch.setattr(neighbours, "passing", passing)
+    frame = spark.createDataFrame([(*r, "n") for r in rows], ROWS)
+    got: dict = {}
+    for r in nearest_neighbours(frame, F.col("key") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = exact(rows)
+    assert set(got) == set(want) and all(len(v) == 10 for v in got.values())
+    hits = sum(len({i for _, i in want[q]} & got[q]) for q in want)
+    assert hits >= 0.95 * 10 * len(want)
+    assert set(written["graph"]) == {8} and max(written["search"]) <= 8
+
+
+def test_a_hub_and_vectors_far_from_the_origin(spark):
+    """All vectors but one lie far apart around it, and all far from the origin."""
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((700, 16))
+    x = 1000 + 5 * x / np.linalg.norm(x, axis=1)[:, None]
+    x[0] = 1000
+    rows = [(k, [float(np.float32(v)) for v in row]) for k, row in enumerate(x)]
+    frame = spark.createDataFrame([(*r, "n") for r in rows], ROWS)
+    got: dict = {}
+    for r in nearest_neighbours(frame, F.col("key") % 20 == 0).collect():
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    want = exact(rows)
+    hits = sum(len({i for _, i in want[q]} & {i for _, i in got[q]}) for q in want)
+    assert hits >= 0.95 * 10 * len(want) and all(len(v) == 10 for v in got.values())
+    assert sorted(got[0]) == [(pytest.approx(s, abs=1e-12), i) for s, i in want[0]]
+
+
+def test_lists_merge_as_by_hand():
+    rng = np.random.default_rng(1)
+    lists = [{int(v): float(rng.integers(1, 99)) for v in rng.choice(50, 4, replace=False)} for _ in range(6)]
+    near, d, old = np.full((6, 5), -1), np.full((6, 5), np.inf, np.float32), np.zeros((6, 5), bool)
+    for u, known in enumerate(lists):
+        for place, (v, dist) in enumerate(sorted(known.items(), key=lambda x: x[1])):
+            near[u, place], d[u, place], old[u, place] = v, dist, True
+    u, v = rng.integers(0, 6, 60), rng.integers(0, 50, 60)
+    dist = np.array([lists[a].get(int(b), 100.0 + int(b) - 99 * (b % 3 == 0)) for a, b in zip(u, v, strict=True)], np.float32)
+    for width in (6, 62):  # places sorted with the numbers, and where they don't fit
+        got = neighbours.merged(near, d, old, u, v, dist, 5, width)
+        for a in range(6):
+            want = lists[a] | {int(b): float(s) for b, s in zip(v[u == a], dist[u == a], strict=True)}
+            want = sorted(want.items(), key=lambda x: (x[1], x[0]))[:5]
+            assert [(int(n), float(s)) for n, s in zip(got[0][a], got[1][a], strict=True) if n >= 0] == want
+            assert [bool(o) for n, o in zip(got[0][a], got[2][a], strict=True) if n >= 0] == [n in lists[a] for n, _ in want]
+    assert (neighbours.merged(near[:, :0], d[:, :0], old[:, :0], u[:0], v[:0], dist[:0], 5, 6)[0] == -1).all()
